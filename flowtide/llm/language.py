@@ -1,6 +1,7 @@
 """Operator 10, language ID by compression.
 
-Each language has a zstandard raw-content dictionary made of a bounded sample of its texts. A text is cut
+Each language has a zstandard raw-content dictionary made of a bounded sample of its texts. Only letters
+tell a language: text is lower-cased and every run of other characters becomes one space. It is then cut
 into blocks of BLOCK bytes so that the dictionary counts as much in a long text as in a short one; every
 block is compressed with every dictionary, and the language with the smallest total is chosen (of equal
 ones, the first in the alphabet). The margin is the saving against the second best, as a share of the best
@@ -23,14 +24,22 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BLOCK, LEVEL = 4096, 1
+BLOCK, LEVEL = 4096, 6
 UND = "und"
-LETTER = re.compile(r"[^\W\d_]")
+OTHER = re.compile(r"[\W\d_]+")
 #: Compressed bits a byte of text in the margin to log-odds; fitted once so that scores spread over 0 to 1.
 SHARPNESS = 60.0
 
 
+def letters(text: str | None) -> bytes:
+    """The text's words of letters alone, between single spaces; nothing if it has no letter."""
+    found = OTHER.sub(" ", (text or "").lower()).strip()
+    return f" {found} ".encode("utf-8", "replace") if found else b""
+
+
 class Classifier:
+    """Dictionaries by language; the compressors are made where they are used."""
+
     def __init__(self, dictionaries: dict[str, bytes]):
         self.dictionaries = dict(sorted(dictionaries.items()))
         self._compress = None
@@ -41,21 +50,22 @@ class Classifier:
     def sizes(self, raw: bytes) -> list[int]:
         """Compressed size of a text under each language's dictionary."""
         if self._compress is None:
-            self._compress = [
-                zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(d, dict_type=zstandard.DICT_TYPE_RAWCONTENT), write_checksum=False, write_content_size=False, write_dict_id=False)
-                for d in self.dictionaries.values()
-            ]
+            self._compress = []
+            for d in self.dictionaries.values():
+                data = zstandard.ZstdCompressionDict(d, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+                data.precompute_compress(level=LEVEL)
+                self._compress.append(zstandard.ZstdCompressor(level=LEVEL, dict_data=data, write_checksum=False, write_content_size=False, write_dict_id=False))
         blocks = [raw[k : k + BLOCK] for k in range(0, len(raw), BLOCK)]
         return [sum(len(c.compress(b)) for b in blocks) for c in self._compress]
 
     def predict(self, text: str | None) -> tuple[str, float, float]:
         """Language, score from 0 to 1, margin."""
-        if not text or not self.dictionaries or not LETTER.search(text):
+        raw = letters(text)
+        if not raw or not self.dictionaries:
             return UND, 0.0, 0.0
         names = list(self.dictionaries)
         if len(names) == 1:
             return names[0], 1.0, 1.0
-        raw = text.encode("utf-8", "replace")
         sizes = self.sizes(raw)
         order = sorted(range(len(names)), key=lambda i: (sizes[i], i))
         best, second = sizes[order[0]], sizes[order[1]]
@@ -64,7 +74,7 @@ class Classifier:
         return names[order[0]], score, margin
 
 
-def train(docs: DataFrame, text: str = "text", lang: str = "lang", where: Column | None = None, dictionary: int = 112_640, per_text: int = 1024) -> Classifier:
+def train(docs: DataFrame, text: str = "text", lang: str = "lang", where: Column | None = None, dictionary: int = 32_768, per_text: int = 1024) -> Classifier:
     """One dictionary a language, from the texts where `where` holds."""
     rows = docs.select(F.col(lang).alias("l"), F.col(text).alias("t"), (F.lit(True) if where is None else where).alias("w"))
     rows = rows.where("w and l is not null and t is not null").select("l", F.substring("t", 1, per_text).alias("t"), F.xxhash64("t").alias("h"))
@@ -80,7 +90,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", where: Column
     near = rows.where(F.col("h") <= cut)
     for name in sorted(counts):
         top = near.where(F.col("l") == name).select("t", "h").distinct().orderBy("h", "t").limit(need).collect()  # at most `need` texts of per_text characters
-        out[name] = "\n".join(r.t for r in top).encode("utf-8", "replace")[:dictionary]
+        out[name] = b"".join(letters(r.t) for r in top)[:dictionary]
     return Classifier({k: v for k, v in out.items() if v})
 
 
@@ -100,7 +110,7 @@ def predictor(docs: DataFrame, classifier: Classifier):
     return predict
 
 
-def identify(docs: DataFrame, classifier: Classifier, text: str = "text", margin: float = 0.01, out: str = "language") -> DataFrame:
+def identify(docs: DataFrame, classifier: Classifier, text: str = "text", margin: float = 0.005, out: str = "language") -> DataFrame:
     """docs with the struct `out` (lang_pred, score, margin, rejected) added."""
     p = predictor(docs, classifier)(F.col(text))
     return docs.withColumn(out, p).withColumn(out, F.struct(f"{out}.*", ((F.col(f"{out}.lang_pred") == UND) | (F.col(f"{out}.margin") < margin)).alias("rejected")))
