@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, language, line_dedup, media, mixing, unigram, url_filter
+from . import exact_dedup, language, line_dedup, media, mixing, ngram_join, unigram, url_filter
 from .common import table
 
 #: A parameter: the SentencePiece model whose pieces are read as a unigram vocabulary.
@@ -58,6 +58,11 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, mix_marginals(), budget=0.5).select("doc_id", "mixing.*")
 
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, class_id, copy_id, copies, n_links."""
+    return ngram_join.join(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("t", "keep")
+
+
 def op8_ogg_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id and the digest of the text's Ogg form, read back."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -78,7 +83,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, model).select("doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "language.*")
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_exact_dedup, op3_url_filter, op5_sentencepiece, op6_mixing, op8_ogg_media, op9_line_dedup, op10_language)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_exact_dedup, op3_url_filter, op5_sentencepiece, op6_mixing, op7_ngram_join, op8_ogg_media, op9_line_dedup, op10_language)}
 #: The others are not to be said in SQL: searches over automata, trained models, media bytes, raking.
 ORACLES = {"op2_exact_dedup": exact_dedup.ORACLE, "op9_line_dedup": line_dedup.ORACLE}
 
