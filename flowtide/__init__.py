@@ -1,0 +1 @@
+"""A change-stream analytics engine on Spark DataFrames."""
