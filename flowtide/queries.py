@@ -622,8 +622,8 @@ def cdc_delivery_metrics(spark, sf_dir):
     return delivery_counters(whole(spark, sf_dir).withColumn("is_skipped", F.col("op") == "truncate")).select("op", "delivered", "skipped")
 
 
-@query("""with g as (select greatest((epoch_us(ts) - lag(epoch_us(ts)) over (partition by user_id order by event_id)) / 1000000.0, 0) as s from events), b as (select unnest([.001, .005, .01, .025, .05, .1, .25, .5, 1, 2.5, 5, 10, 30, 60, 300]::decimal(6,3)[]) as le)
-select le::varchar as le, count(*) filter (where s <= le) as n from g cross join b where s is not null group by le""")
+@query("""with d as (select (epoch_us(ts) - lag(epoch_us(ts)) over (partition by user_id order by event_id)) / 1000000.0 as s from events), g as (select greatest(s, 0) as s from d where s is not null), b as (select unnest([.001, .005, .01, .025, .05, .1, .25, .5, 1, 2.5, 5, 10, 30, 60, 300]::decimal(6,3)[]) as le)
+select le::varchar as le, count(*) filter (where s <= le) as n from g cross join b group by le""")
 def cdc_latency_histogram(spark, sf_dir):
     from .metrics import histogram
 
@@ -689,3 +689,75 @@ def cdc_slot_health(spark, sf_dir):
     e = log.orders_log(read(spark, sf_dir, "orders")).agg(F.max("end_lsn").alias("c"), F.min("commit_lsn").alias("r"), F.max(F.when(F.col("commit_lsn") < log.BASE + 4 * log.PHASE, F.col("commit_lsn"))).alias("f"))
     h = control.slot_health(F.col("c"), F.col("r"), F.col("f"), F.lit(None).cast("long"))
     return e.select(*(v.alias(k) for k, v in h.items()))
+
+
+# --- streams -------------------------------------------------------------------------------------------------------
+
+
+def _orders_stream(spark, sf_dir) -> DataFrame:
+    o = read(spark, sf_dir, "orders")
+    return spark.readStream.schema(o.schema).option("pathGlobFilter", "orders.parquet").parquet(sf_dir)
+
+
+@query(LOG + "select commit_lsn, seq, op, key::varchar as key from e")
+def cdc_stream_dedupe(spark, sf_dir):
+    """A stream in which every event comes twice, through the streaming dedup."""
+    from .plans.scratch import shared_folder
+    from .streaming.pipeline import first_arrivals
+
+    at = shared_folder(spark, "dedupe")
+    raw = log.orders_log(_orders_stream(spark, sf_dir))
+
+    def number(batch: DataFrame, n: int) -> None:
+        e = typed(encode.encode(batch, log.relations(batch.sparkSession)))
+        e.unionByName(e).select("commit_lsn", "seq", "op", "key", "backfill", "commit_ts").write.mode("overwrite").parquet(f"{at}/in/n={n}")
+
+    raw.writeStream.foreachBatch(number).option("checkpointLocation", f"{at}/c1").trigger(availableNow=True).start().awaitTermination()
+    schema = spark.read.parquet(f"{at}/in").drop("n").schema
+    once = first_arrivals(spark.readStream.schema(schema).parquet(f"{at}/in/*")).select("commit_lsn", "seq", "op", "key")
+    once.writeStream.format("parquet").option("path", f"{at}/out").option("checkpointLocation", f"{at}/c2").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{at}/out")
+
+
+@query(_EXPECTED + """ select x.key, x.st, x.pr, x.prio from x where exists (select 1 from o where k % 10 <> 9 and x.key = (case when k % 100 = 7 then k + 20000000 when k % 50 = 7 then k + 10000000 else k end)::varchar)""")
+def cdc_stream_materialize(spark, sf_dir):
+    """The stream in two batches (phases up to 2, then the rest), each merged into a version of the table."""
+    from .plans.scratch import shared_folder
+    from .streaming.pipeline import Materialiser
+
+    at = shared_folder(spark, "materialise")
+    m = Materialiser(f"{at}/state", "key", *_columns())
+    late = F.col("commit_lsn") >= log.BASE + 3 * log.PHASE
+
+    def each(batch: DataFrame, n: int) -> None:
+        e = typed(encode.encode(batch, log.relations(batch.sparkSession)))
+        # rows that the log never inserted are left to a backfill
+        e = e.where(F.pmod(F.col("key").cast("long"), F.lit(10)) != 9).select("op", "origin", "key", "pos_lsn", "is_stream", "seq", "commit_lsn", "st", "pr", "prio", "has_prio")
+        m.write(e.where(~late), 2 * n)
+        m.write(e.where(late), 2 * n + 1)
+
+    log.orders_log(_orders_stream(spark, sf_dir)).writeStream.foreachBatch(each).option("checkpointLocation", f"{at}/c").trigger(availableNow=True).start().awaitTermination()
+    return m.version(spark, 1)
+
+
+@query(_TOUCH + "select k, chunk, verdict from v")
+def cdc_stream_verdict(spark, sf_dir):
+    """Touches kept per key in the state store, then the chunk's verdicts."""
+    from .plans.scratch import shared_folder
+    from .streaming.pipeline import track
+
+    at = shared_folder(spark, "verdict")
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        c = log.orders_log(_orders_stream(spark, sf_dir), (2,))
+        key = F.concat(F.lit('{"o_orderkey":'), F.col("new")[0]["value"], F.lit("}"))
+        e = c.select(key.alias("key_json"), "commit_lsn", F.col("lsn").alias("seq"), "op", "xid", F.exists("new", lambda x: x["kind"] == "u").alias("is_partial"))
+        put = lambda b, n: b.write.mode("overwrite").parquet(f"{at}/out/n={n}")
+        track(e).writeStream.outputMode("update").foreachBatch(put).option("checkpointLocation", f"{at}/c").trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.set(name, before)
+    touches = spark.read.parquet(f"{at}/out").drop("n")
+    none = spark.createDataFrame([], "table string, truncate_xid long")
+    return merge.judge_chunk(chunk(spark, sf_dir), touches, none, log.SNAPSHOT_XMIN).select("k", "chunk", "verdict")
