@@ -27,17 +27,24 @@ def widen_xid(xid: Column, ref: Column) -> Column:
     return F.when((wide - ref > EPOCH // 2) & (wide >= EPOCH), wide - EPOCH).when(ref - wide > EPOCH // 2, wide + EPOCH).otherwise(wide)
 
 
-def _escapes() -> dict[str, str]:
-    short = {"\\": "\\\\", '"': '\\"', "\n": "\\n", "\r": "\\r", "\t": "\\t"}
-    return short | {chr(c): f"\\u{c:04x}" for c in [*range(0x20), 0x85, 0x2028, 0x2029] if chr(c) not in short}
+#: Escapes of common characters; the backslash comes first.
+COMMON = {"\\": "\\\\", '"': '\\"', "\n": "\\n", "\r": "\\r", "\t": "\\t"}
+#: Escapes of the other controls, and of what some readers take for the end of a line.
+RARE = {chr(c): f"\\u{c:04x}" for c in [*range(0x20), 0x85, 0x2028, 0x2029] if chr(c) not in COMMON}
 
 
 def json_quote(text: Column) -> Column:
-    """A JSON string on one line: controls and the three Unicode line separators are escaped, all else is as it is."""
+    """A JSON string on one line: controls and the three Unicode line separators are escaped, all else is as it is.
+
+    Rare characters are looked up one by one, and only in texts that have any, which keeps plans small.
+    """
     out = text
-    for c, e in _escapes().items():
+    for c, e in COMMON.items():
         out = F.replace(out, F.lit(c), F.lit(e))
-    return F.concat(F.lit('"'), F.when(text.rlike('[\\x00-\\x1f\\x85\\x{2028}\\x{2029}"\\\\]'), out).otherwise(text), F.lit('"'))
+    table = F.create_map(*(F.lit(x) for pair in RARE.items() for x in pair))
+    each = F.array_join(F.transform(F.split(out, ""), lambda c: F.coalesce(F.try_element_at(table, c), c)), "")
+    rare = text.rlike(r"[\x00-\x08\x0b\x0c\x0e-\x1f\x85\x{2028}\x{2029}]")
+    return F.concat(F.lit('"'), F.when(rare, each).otherwise(out), F.lit('"'))
 
 
 def single_line(json: Column) -> Column:

@@ -12,3 +12,10 @@ def shared_folder(spark: SparkSession, tag: str) -> str:
     """A new path below spark.checkpoint.dir; a temporary folder only where the session names none."""
     top = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="flowtide-")
     return f"{top}/{tag}-{uuid.uuid4().hex}"
+
+
+def settle(df, tag: str = "table"):
+    """Writes a table there and reads it back: its plan is cut, and losing an executor loses none of it."""
+    at = shared_folder(df.sparkSession, tag)
+    df.write.parquet(at)
+    return df.sparkSession.read.schema(df.schema).parquet(at)

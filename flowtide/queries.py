@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .functions import codec
 from .operators import consume, control, encode, ledger, merge, snapshot
 from .plans import changelog as log
+from .plans.scratch import settle, shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -79,7 +80,7 @@ def rfc(x: str) -> str:
 
 def esc(x: str) -> str:
     out = x
-    for c, e in codec._escapes().items():
+    for c, e in (codec.COMMON | codec.RARE).items():
         out = f"replace({out}, chr({ord(c)}), '{e}')"
     return f"""('"' || {out} || '"')"""
 
@@ -437,8 +438,8 @@ _EXPECTED = LOG + """, x as (select (case when k % 100 = 7 then k + 20000000 whe
 
 
 def _converged(spark, sf_dir) -> DataFrame:
-    m = merged(spark, sf_dir)
-    roots = consume.lineage(consume.moves(m))
+    m = settle(merged(spark, sf_dir), "merged")
+    roots = consume.lineage(consume.moves(m), settle)
     return consume.materialise(m, "key", *_columns(), roots=roots)
 
 
@@ -463,8 +464,8 @@ ln as (select a as root, b as key from mv where a not in (select b from mv) unio
 select root::varchar as root, e.key::varchar as key, op, commit_lsn, seq from e join (select root, key from ln union select root, root from ln) q on q.key = e.key""")
 def cdc_history(spark, sf_dir):
     """All events of rows whose key ever changed, under their first key."""
-    e = typed(events(spark, sf_dir)).select("key", "op", "origin", "commit_lsn", "seq")
-    roots = consume.lineage(consume.moves(e))
+    e = settle(typed(events(spark, sf_dir)).select("key", "op", "origin", "commit_lsn", "seq"), "events")
+    roots = consume.lineage(consume.moves(e), settle)
     own = roots.select(F.col("root").alias("new_key"), "root").distinct()
     return e.join(roots.unionByName(own).withColumnRenamed("new_key", "key"), "key").select("root", "key", "op", "commit_lsn", "seq")
 
@@ -702,7 +703,6 @@ def _orders_stream(spark, sf_dir) -> DataFrame:
 @query(LOG + "select commit_lsn, seq, op, key::varchar as key from e")
 def cdc_stream_dedupe(spark, sf_dir):
     """A stream in which every event comes twice, through the streaming dedup."""
-    from .plans.scratch import shared_folder
     from .streaming.pipeline import first_arrivals
 
     at = shared_folder(spark, "dedupe")
@@ -722,7 +722,6 @@ def cdc_stream_dedupe(spark, sf_dir):
 @query(_EXPECTED + """ select x.key, x.st, x.pr, x.prio from x where exists (select 1 from o where k % 10 <> 9 and x.key = (case when k % 100 = 7 then k + 20000000 when k % 50 = 7 then k + 10000000 else k end)::varchar)""")
 def cdc_stream_materialize(spark, sf_dir):
     """The stream in two batches (phases up to 2, then the rest), each merged into a version of the table."""
-    from .plans.scratch import shared_folder
     from .streaming.pipeline import Materialiser
 
     at = shared_folder(spark, "materialise")
@@ -743,7 +742,6 @@ def cdc_stream_materialize(spark, sf_dir):
 @query(_TOUCH + "select k, chunk, verdict from v")
 def cdc_stream_verdict(spark, sf_dir):
     """Touches kept per key in the state store, then the chunk's verdicts."""
-    from .plans.scratch import shared_folder
     from .streaming.pipeline import track
 
     at = shared_folder(spark, "verdict")

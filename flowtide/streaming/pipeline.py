@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StatefulProcessor
 from pyspark.sql.streaming.query import StreamingQuery
 
 from ..operators import consume, encode
+from ..plans.scratch import settle
 from ..sources import pgoutput
 from .sinks import FATAL, delay
 
@@ -61,7 +62,7 @@ class Materialiser:
             e = batch.unionByName(state, allowMissingColumns=True)
         # what a state row holds was all sent
         sent = {c: s | (F.col("op") == "read") for c, s in self.sent.items()}
-        roots = consume.lineage(consume.moves(batch, self.key))
+        roots = consume.lineage(consume.moves(batch, self.key), settle)
         out = consume.materialise(e, self.key, self.columns, sent, roots=roots)
         out.write.mode("overwrite").parquet(f"{self.path}/v={batch_id}")
 
