@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import small, stash
-from .text_arrays import signed, split, window_hashes, word_hashes
+from .text_arrays import signed, split, stretch_hashes, window_hashes, word_hashes
 
 WINDOW = 20
 SECOND = 0xD1B54A32D192ED03
@@ -49,16 +49,6 @@ def _runs(h: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return g[at[first]], first, np.diff(np.append(first, len(at)))
 
 
-def _stretch_hashes(h: np.ndarray, first: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two hashes of h[first:first + length], for each pair; lengths are alike enough to go by length."""
-    a, b = np.zeros(len(first), np.uint64), np.zeros(len(first), np.uint64)
-    for n in np.unique(length):
-        k = length == n
-        a[k] = window_hashes(h, int(n))[first[k]] ^ np.uint64(n)
-        b[k] = window_hashes(h, int(n), SECOND)[first[k]]
-    return a, b
-
-
 def _batch(columns: dict) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({k: v if isinstance(v, pa.Array) else pa.array(v) for k, v in columns.items()})
 
@@ -85,7 +75,7 @@ def _run_rows(docs: DataFrame, window: int) -> DataFrame:
                 for x in part.column("text").to_pylist():
                     h = word_hashes(split(x))
                     s, first, count = _runs(h, window)
-                    parts.append((signed(s), first, count, *map(signed, _stretch_hashes(h, first, count + window - 1))))
+                    parts.append((signed(s), first, count, signed(stretch_hashes(h, first, count + window - 1)), signed(stretch_hashes(h, first, count + window - 1, SECOND))))
                     rep.append(len(s))
                 at = pa.array(np.repeat(np.arange(len(rep)), rep))
                 s, first, count, a, z = map(np.concatenate, zip(*parts))

@@ -60,5 +60,26 @@ def window_hashes(h: np.ndarray, n: int, seed: int = 0x9E3779B97F4A7C15) -> np.n
     return total
 
 
+def _powers(base: int, n: int, _have: dict = {}) -> np.ndarray:  # noqa: B006  grown as needed, in each process
+    """1, base, base^2, ... modulo 2^64, n of them at least."""
+    if base not in _have or len(_have[base]) < n:
+        x = np.full(max(n, 4096), base, dtype=np.uint64)
+        x[0] = 1
+        _have[base] = np.multiply.accumulate(x)
+    return _have[base]
+
+
+def stretch_hashes(h: np.ndarray, first: np.ndarray, length: np.ndarray, seed: int = 0x9E3779B97F4A7C15) -> np.ndarray:
+    """A hash of h[first:first + length] for each pair, from one running sum of the hashes times powers of an odd number.
+
+    The inverse powers shift every stretch to the start, so equal stretches have equal hashes wherever they stand.
+    """
+    base = seed | 1
+    up, down = _powers(base, len(h) + 1), _powers(pow(base, -1, 1 << 64), len(h) + 1)
+    total = np.zeros(len(h) + 1, dtype=np.uint64)
+    np.add.accumulate(mix(h ^ np.uint64(seed)) * up[: len(h)], out=total[1:])
+    return mix((total[first + length] - total[first]) * down[first] + mix(length.astype(np.uint64) + np.uint64(seed)))
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(x).view(np.int64)
