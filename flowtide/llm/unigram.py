@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from dataclasses import dataclass
 
 import ahocorasick
@@ -30,8 +31,9 @@ from pyspark.sql import functions as F
 
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
+NONE = float("-inf")
 #: Stretches remembered by each Python worker, and the longest stretch that is remembered.
-MEMO_ENTRIES, MEMO_CHARS = 400_000, 64
+MEMO_ENTRIES, MEMO_CHARS = 600_000, 64
 
 
 @dataclass(frozen=True)
@@ -71,9 +73,10 @@ class Scanner:
         self.unknown = min((s for _, s, _ in vocabulary.pieces), default=0.0) - UNKNOWN_PENALTY
         self.apart = all(SPACE not in p.lstrip(SPACE) for p, _, _ in vocabulary.pieces)
         self.counts, self.codes = Memo(self._count), Memo(self._code)
-        self.surface = {i: p.encode() for p, _, i in vocabulary.pieces}
-        self.surface |= {i: bytes([b]) for b, i in enumerate(vocabulary.bytes_)}
-        self.surface.setdefault(vocabulary.unk, " ⁇ ".encode())
+        self.single = {p for p, _, _ in vocabulary.pieces if len(p) == 1}
+        surface = {i: p.encode() for p, _, i in vocabulary.pieces} | {i: bytes([b]) for b, i in enumerate(vocabulary.bytes_)}
+        surface.setdefault(vocabulary.unk, " ⁇ ".encode())
+        self.surface = pa.array([surface.get(i, b"") for i in range(max(surface) + 1)], pa.large_binary())
 
     def stretches(self, text: str) -> list[str]:
         """The independent stretches of a non-empty text, each without the space it starts with."""
@@ -102,14 +105,21 @@ class Scanner:
         Adjacent unknown characters without byte pieces make one unknown piece, so a flag is carried too.
         """
         s = SPACE + stretch.replace(" ", SPACE)
-        best, count, loose = [0.0] * (len(s) + 1), [0] * (len(s) + 1), [False] * (len(s) + 1)
+        count = [0] * (len(s) + 1)
+        if self.single.issuperset(s):  # no character is unknown
+            best = [0.0] + [NONE] * len(s)
+            for end, (n, score, _) in self.scan.iter(s):
+                if best[end + 1 - n] + score > best[end + 1]:
+                    best[end + 1] = best[end + 1 - n] + score
+                    count[end + 1] = count[end + 1 - n] + 1
+            return count[-1]
+        best, loose = [0.0] * (len(s) + 1), [False] * (len(s) + 1)
         for end, matches in self._matches(s):
-            top, alone = None, True
+            top = NONE
             for _, (n, score, _) in matches:
-                alone = alone and n != 1
-                if top is None or best[end - n] + score > top:
+                if best[end - n] + score > top:
                     top, count[end] = best[end - n] + score, count[end - n] + 1
-            if alone and (top is None or best[end - 1] + self.unknown > top):
+            if s[end - 1] not in self.single and best[end - 1] + self.unknown > top:
                 top, loose[end] = best[end - 1] + self.unknown, True
                 count[end] = count[end - 1] + (0 if loose[end - 1] and not self.v.bytes_ else self._spelled(s[end - 1]))
             best[end] = top
@@ -118,16 +128,23 @@ class Scanner:
     def _code(self, stretch: str) -> bytes:
         """Ids of the best segmentation as native int32s."""
         s = SPACE + stretch.replace(" ", SPACE)
-        best, back = [0.0] * (len(s) + 1), [(0, -1)] * (len(s) + 1)
-        for end, matches in self._matches(s):
-            top, alone = None, True
-            for _, (n, score, i) in matches:
-                alone = alone and n != 1
-                if top is None or best[end - n] + score > top:
-                    top, back[end] = best[end - n] + score, (end - n, i)
-            if alone and (top is None or best[end - 1] + self.unknown > top):
-                top, back[end] = best[end - 1] + self.unknown, (end - 1, -1)
-            best[end] = top
+        back = [(0, -1)] * (len(s) + 1)
+        if self.single.issuperset(s):
+            best = [0.0] + [NONE] * len(s)
+            for end, (n, score, i) in self.scan.iter(s):
+                if best[end + 1 - n] + score > best[end + 1]:
+                    best[end + 1] = best[end + 1 - n] + score
+                    back[end + 1] = (end + 1 - n, i)
+        else:
+            best = [0.0] * (len(s) + 1)
+            for end, matches in self._matches(s):
+                top = NONE
+                for _, (n, score, i) in matches:
+                    if best[end - n] + score > top:
+                        top, back[end] = best[end - n] + score, (end - n, i)
+                if s[end - 1] not in self.single and best[end - 1] + self.unknown > top:
+                    top, back[end] = best[end - 1] + self.unknown, (end - 1, -1)
+                best[end] = top
         ids, end = [], len(s)
         while end:
             start, i = back[end]
@@ -138,7 +155,7 @@ class Scanner:
             elif not ids or ids[-1] != self.v.unk:
                 ids.append(self.v.unk)
             end = start
-        return np.array(ids[::-1], dtype=np.int32).tobytes()
+        return array("i", reversed(ids)).tobytes()
 
     def count(self, text: str | None) -> int | None:
         return None if text is None else sum(map(self.counts.__getitem__, self.stretches(text))) if text else 0
@@ -146,10 +163,19 @@ class Scanner:
     def encode(self, text: str) -> bytes:
         return b"".join(map(self.codes.__getitem__, self.stretches(text))) if text else b""
 
-    def decode(self, ids: list[int]) -> str:
-        """Pieces are joined, bytes put back together (U+FFFD where they are not UTF-8), U+2581 is a space, the first is dropped."""
-        text = b"".join(map(self.surface.__getitem__, ids)).decode("utf-8", "replace").replace(SPACE, " ")
-        return text[1:] if text[:1] == " " else text
+    def decode(self, ids: pa.ListArray) -> list[str | None]:
+        """The text of each list of ids, null for null.
+
+        Pieces are joined, bytes put back together (U+FFFD where they are not UTF-8), U+2581 is a space, the first is dropped.
+        """
+        ends = ids.offsets.to_numpy()
+        spelled = self.surface.take(ids.values.slice(ends[0], ends[-1] - ends[0]))
+        at = np.frombuffer(spelled.buffers()[1], dtype=np.int64, count=len(spelled) + 1)[ends - ends[0]] if len(spelled) else np.zeros(len(ends), np.int64)
+        raw, out = spelled.buffers()[2], []
+        for a, b, there in zip(at.tolist(), at[1:].tolist(), ids.is_valid().to_pylist()):
+            text = bytes(raw[a:b]).decode("utf-8", "replace").replace(SPACE, " ") if b > a else ""
+            out.append((text[1:] if text[:1] == " " else text) if there else None)
+        return out
 
 
 class Memo(dict):
@@ -211,8 +237,10 @@ def decoder(spark: SparkSession, vocabulary: Vocabulary):
 
     @F.arrow_udf("string")
     def decode(ids: pa.Array) -> pa.Array:
-        s = scanner(shared.value)
-        return pa.array([None if x is None else s.decode(x) for x in ids.to_pylist()], pa.string())
+        s, out = scanner(shared.value), []
+        for k in range(0, len(ids), 500):
+            out += s.decode(ids.slice(k, 500))
+        return pa.array(out, pa.string())
 
     return decode
 
