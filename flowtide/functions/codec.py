@@ -53,16 +53,11 @@ def single_line(json: Column) -> Column:
 
 def value_json(oid: Column, value: Column) -> Column:
     """A value in text form as JSON, by its type; numerics stay strings to keep their precision."""
-    quoted = json_quote(value)
+    special = oid.isin(*FLOATS) & value.isin("NaN", "Infinity", "-Infinity")
     return (
-        F.when(value.isNull(), "null")
-        .when(oid == BOOL, F.when(value == "t", "true").otherwise("false"))
-        .when(oid.isin(*INTEGERS), value)
-        .when(oid.isin(*FLOATS), F.when(value.isin("NaN", "Infinity", "-Infinity"), quoted).otherwise(value))
-        .when(oid == JSONB, value)
-        .when(oid == JSON, single_line(value))
-        .otherwise(quoted)
-    )
+        F.when(value.isNull(), "null").when(oid == BOOL, F.when(value == "t", "true").otherwise("false"))
+        .when(oid.isin(*INTEGERS, *FLOATS, JSONB) & ~special, value).when(oid == JSON, single_line(value)).otherwise(json_quote(value))
+    )
 
 
 def valid_utf8(raw: Column) -> Column:

@@ -84,7 +84,7 @@ def render(events: DataFrame) -> DataFrame:
     empty = F.array().cast("array<string>")
     identity = F.coalesce("new", "old")
     e = events.withColumn("old", _width_checked(F.col("old"))).withColumn("new", _width_checked(F.col("new")))
-    old_json = F.when(key_only, codec.json_object(columns, F.col("old"), lambda c: c["is_key"])).otherwise(codec.json_object(columns, F.col("old")))
+    old_json = codec.json_object(columns, F.col("old"), lambda c: ~F.coalesce(key_only, F.lit(False)) | c["is_key"])
     e = e.withColumns({
         "table": table,
         "unchanged": F.concat(F.coalesce(F.when(key_only, empty).otherwise(unsent(F.col("old"))), empty), F.coalesce(unsent(F.col("new")), empty)),
