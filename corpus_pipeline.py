@@ -48,8 +48,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, ids, n_ids, round_trip."""
-    vocabulary = unigram.Vocabulary.read(MODEL)
-    d = unigram.decode(unigram.encode(docs.select("doc_id", "lang", "source", "text"), vocabulary), vocabulary, out="decoded")
+    d = unigram.encode_and_decode(docs.select("doc_id", "lang", "source", "text"), unigram.Vocabulary.read(MODEL))
     return d.select("doc_id", "lang", "source", "ids", F.size("ids").cast("long").alias("n_ids"), (F.col("decoded") == unigram.normalised(F.col("text"))).alias("round_trip"))
 
 

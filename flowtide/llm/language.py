@@ -74,12 +74,12 @@ class Classifier:
         return names[order[0]], score, margin
 
 
-def train(docs: DataFrame, text: str = "text", lang: str = "lang", where: Column | None = None, dictionary: int = 32_768, per_text: int = 1024) -> Classifier:
-    """One dictionary a language, from the texts where `where` holds."""
+def train(docs: DataFrame, text: str = "text", lang: str = "lang", where: Column | None = None, dictionary: int = 32_768, per_text: int = 1024, languages: int = 100) -> Classifier:
+    """One dictionary for each of the `languages` most frequent labels, from the texts where `where` holds."""
     rows = docs.select(F.col(lang).alias("l"), F.col(text).alias("t"), (F.lit(True) if where is None else where).alias("w"))
     rows = rows.where("w and l is not null and t is not null").select("l", F.substring("t", 1, per_text).alias("t"), F.xxhash64("t").alias("h"))
     need = 2 * max(1, dictionary // per_text) + 16
-    counts = {r.l: r.n for r in rows.groupBy("l").agg(F.count("*").alias("n")).collect()}
+    counts = {r.l: r.n for r in rows.groupBy("l").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "l").limit(languages).collect()}
     out = {}
     # The texts with the smallest hashes: a cut that lets about twice `need` rows of each language pass, then an exact top of those.
     span = 1 << 63
@@ -107,7 +107,7 @@ def predictor(docs: DataFrame, classifier: Classifier):
         c = shared.value
         return pa.array([dict(zip(("lang_pred", "score", "margin"), c.predict(x))) for x in text.to_pylist()], kind)
 
-    return predict
+    return predict.asNondeterministic()  # or a filter on the prediction would compute it a second time
 
 
 def identify(docs: DataFrame, classifier: Classifier, text: str = "text", margin: float = 0.005, out: str = "language") -> DataFrame:

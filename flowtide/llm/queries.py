@@ -39,10 +39,8 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, ids, n_ids, ids_sha256 (of the ids in decimal with commas), round_trip: whether decoding the ids gives the normalised text."""
-    vocabulary = unigram.Vocabulary.read(MODEL)
-    docs = unigram.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary)
-    docs = unigram.decode(docs, vocabulary, out="decoded")
+    """doc_id, ids, n_ids, decoded_sha256, round_trip: whether decoding the ids gives the normalised text."""
+    docs = unigram.encode_and_decode(table(spark, sf_dir, "documents").select("doc_id", "text"), unigram.Vocabulary.read(MODEL))
     return docs.select(
         "doc_id", "ids", F.size("ids").cast("long").alias("n_ids"), F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
         (F.col("decoded") == unigram.normalised(F.col("text"))).alias("round_trip"),

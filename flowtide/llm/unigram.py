@@ -33,7 +33,7 @@ SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
 NONE = float("-inf")
 #: Stretches remembered by each Python worker, and the longest stretch that is remembered.
-MEMO_ENTRIES, MEMO_CHARS = 600_000, 64
+MEMO_ENTRIES, MEMO_CHARS = 400_000, 64
 
 
 @dataclass(frozen=True)
@@ -222,25 +222,32 @@ def encoder(spark: SparkSession, vocabulary: Vocabulary):
 
     @F.arrow_udf("array<int>")
     def encode(text: pa.Array) -> pa.Array:
-        s = scanner(shared.value)
-        codes = [None if x is None else s.encode(x) for x in text.to_pylist()]
-        ends = np.cumsum([0, *(len(c or b"") // 4 for c in codes)])
-        flat = pa.array(np.frombuffer(b"".join(c or b"" for c in codes), dtype=np.int32))
-        return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), flat, mask=pa.array([c is None for c in codes]))
+        return _ids(scanner(shared.value), text)
 
     return encode
 
 
+def _ids(s: Scanner, text: pa.Array) -> pa.ListArray:
+    codes = [None if x is None else s.encode(x) for x in text.to_pylist()]
+    ends = np.cumsum([0, *(len(c or b"") // 4 for c in codes)])
+    flat = pa.array(np.frombuffer(b"".join(c or b"" for c in codes), dtype=np.int32))
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), flat, mask=pa.array([c is None for c in codes]))
+
+
+def _texts(s: Scanner, ids: pa.ListArray) -> pa.Array:
+    out = []
+    for k in range(0, len(ids), 500):
+        out += s.decode(ids.slice(k, 500))
+    return pa.array(out, pa.string())
+
+
 def decoder(spark: SparkSession, vocabulary: Vocabulary):
     """A Column function: array of ids to the text they spell."""
     shared = spark.sparkContext.broadcast(vocabulary)
 
     @F.arrow_udf("string")
     def decode(ids: pa.Array) -> pa.Array:
-        s, out = scanner(shared.value), []
-        for k in range(0, len(ids), 500):
-            out += s.decode(ids.slice(k, 500))
-        return pa.array(out, pa.string())
+        return _texts(scanner(shared.value), ids)
 
     return decode
 
@@ -260,6 +267,20 @@ def decode(docs: DataFrame, vocabulary: Vocabulary, ids: str = "ids", out: str =
     return docs.withColumn(out, decoder(docs.sparkSession, vocabulary)(F.col(ids)))
 
 
+def encode_and_decode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str = "ids", back: str = "decoded") -> DataFrame:
+    """docs with the ids, and with the text that these ids spell, from one visit to Python."""
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+
+    @F.arrow_udf("struct<ids:array<int>,back:string>")
+    def code(text: pa.Array) -> pa.Array:
+        s = scanner(shared.value)
+        found = _ids(s, text)
+        return pa.StructArray.from_arrays([found, _texts(s, found)], names=["ids", "back"])
+
+    d = docs.withColumn("__coded", code.asNondeterministic()(F.col(text)))  # computed once, however often it is used
+    return d.withColumns({ids: F.col("__coded.ids"), back: F.col("__coded.back")}).drop("__coded")
+
+
 def normalised(text: Column) -> Column:
     """What decoding gives back: the text with U+2581 as a space."""
     return F.translate(text, SPACE, " ")
