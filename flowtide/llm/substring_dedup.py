@@ -12,7 +12,7 @@ level by level, and each level looks only at what the one before left:
 3. Windows of four seeds, in the runs that are left (first of their kind, or edges of a repeat): the earliest
    occurrence of each window stays and the others are copies.
 
-Sequences are compared by 128-bit hashes of their words. All tables between the levels hold hashes and
+Sequences are compared by two 64-bit hashes of their words' hashes. All tables between the levels hold hashes and
 positions; a document's own part of them becomes a few ranges before it meets the text again.
 
 Defined cases: null and empty texts have no words; texts shorter than the window lose nothing. Rows that
@@ -31,24 +31,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import small, stash
-from .text_arrays import signed, split, stretch_hashes, window_hashes, word_hashes
+from .text_arrays import Stretches, leftmost_minima, mix, signed, split, word_hashes
 
 WINDOW = 20
-SECOND = 0xD1B54A32D192ED03
 
 
-def _runs(h: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _runs(sums: Stretches, n: int, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Runs of windows with the same seed: hash of the seed, first window, number of windows."""
     seed = max(1, window // 4)
-    g = window_hashes(h, seed)
-    if len(h) < window:
-        return g[:0], np.zeros(0, np.int64), np.zeros(0, np.int64)
-    inside = np.lib.stride_tricks.sliding_window_view(g, window - seed + 1)
-    at = inside.argmin(axis=1) + np.arange(len(inside))
+    if n < window:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    g = mix(sums.windows(seed))
+    at = leftmost_minima(g, window - seed + 1)
     first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
     return g[at[first]], first, np.diff(np.append(first, len(at)))
 
 
+def _sums(text: str | None) -> tuple[Stretches, int]:
+    h = word_hashes(split(text))
+    return Stretches(h), len(h)
+
+
 def _batch(columns: dict) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({k: v if isinstance(v, pa.Array) else pa.array(v) for k, v in columns.items()})
 
@@ -57,7 +60,7 @@ def _seeds(docs: DataFrame, window: int) -> DataFrame:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for k in range(0, b.num_rows, 500):
-                found = [_runs(word_hashes(split(x)), window)[0] for x in b.column("text")[k : k + 500].to_pylist()]
+                found = [_runs(*_sums(x), window)[0] for x in b.column("text")[k : k + 500].to_pylist()]
                 yield _batch({"s": signed(np.concatenate(found))})
 
     return docs.select("text").mapInArrow(rows, "s long")
@@ -73,9 +76,9 @@ def _run_rows(docs: DataFrame, window: int) -> DataFrame:
             for k in range(0, b.num_rows, 500):
                 part, parts, rep = b.slice(k, 500), [], []
                 for x in part.column("text").to_pylist():
-                    h = word_hashes(split(x))
-                    s, first, count = _runs(h, window)
-                    parts.append((signed(s), first, count, signed(stretch_hashes(h, first, count + window - 1)), signed(stretch_hashes(h, first, count + window - 1, SECOND))))
+                    sums, n = _sums(x)
+                    s, first, count = _runs(sums, n, window)
+                    parts.append((signed(s), first, count, *map(signed, sums.of(first, count + window - 1))))
                     rep.append(len(s))
                 at = pa.array(np.repeat(np.arange(len(rep)), rep))
                 s, first, count, a, z = map(np.concatenate, zip(*parts))
@@ -98,10 +101,12 @@ def _range_rows(d: DataFrame, window: int) -> DataFrame:
     def rows(batches):
         for b in batches:
             out = {"look": [], "all": []}
-            for runs in b.column("runs"):
-                r = np.array([(x["p"], x["n"], x["first"]) for x in runs.as_py()], dtype=np.int64).reshape(-1, 3)
-                for name, part in (("look", r[r[:, 2] > 0]), ("all", r)):
-                    out[name].append(np.stack(_ranges(part[:, 0], part[:, 1]), axis=1).reshape(-1).tolist() if len(part) else [])
+            runs = b.column("runs")
+            p, n, new = (runs.values.field(f).to_numpy().astype(np.int64) for f in ("p", "n", "first"))
+            ends = runs.offsets.to_numpy()
+            for lo, hi in zip(ends, ends[1:]):
+                for name, k in (("look", np.flatnonzero(new[lo:hi]) + lo), ("all", slice(lo, hi))):
+                    out[name].append(np.stack(_ranges(p[k], n[k]), axis=1).reshape(-1) if len(p[k]) else [])
             yield _batch({"i": b.column("i"), "t": b.column("t")} | {k: pa.array(v, pa.list_(pa.int32())) for k, v in out.items()})
 
     return d.mapInArrow(rows, _keyed(d, "look array<int>, all array<int>"))
@@ -115,12 +120,10 @@ def _window_rows(docs: DataFrame, window: int) -> DataFrame:
             for k in range(0, b.num_rows, 200):
                 part, parts, rep = b.slice(k, 200), [], []
                 for x, look in zip(part.column("text").to_pylist(), part.column("look").to_pylist()):
-                    h, got = word_hashes(split(x)), []
-                    for lo, hi in zip(look[::2], look[1::2]):
-                        w = h[lo : hi + window - 1]
-                        got.append((signed(window_hashes(w, window)), signed(window_hashes(w, window, SECOND)), np.arange(lo, hi)))
-                    parts += got
-                    rep.append(sum(len(g[2]) for g in got))
+                    sums, _ = _sums(x)
+                    a, z = (signed(sums.windows(window, k)) for k in (0, 1))
+                    parts += [(a[lo:hi], z[lo:hi], np.arange(lo, hi)) for lo, hi in zip(look[::2], look[1::2])]
+                    rep.append(sum(look[1::2]) - sum(look[::2]))
                 if not parts:
                     continue
                 at = pa.array(np.repeat(np.arange(len(rep)), rep))
@@ -136,9 +139,15 @@ def _span_rows(d: DataFrame, window: int) -> DataFrame:
     def rows(batches):
         for b in batches:
             out = []
-            for every, firsts in zip(b.column("all").to_pylist(), b.column("firsts").to_pylist()):
-                copies = np.setdiff1d(np.concatenate([np.arange(lo, hi) for lo, hi in zip(every[::2], every[1::2])]), np.array(firsts or [], dtype=np.int64), assume_unique=True)
-                out.append(np.stack(_ranges(copies, np.full(len(copies), window)), axis=1).reshape(-1).tolist() if len(copies) else [])
+            firsts = b.column("firsts")
+            stay, ends = firsts.values.to_numpy(), firsts.offsets.to_numpy()
+            for every, lo, hi in zip(b.column("all").to_pylist(), ends, ends[1:]):
+                copy = np.zeros(every[-1] + 1, dtype=bool)
+                for x, y in zip(every[::2], every[1::2]):
+                    copy[x:y] = True
+                copy[stay[lo:hi]] = False
+                copies = np.flatnonzero(copy)
+                out.append(np.stack(_ranges(copies, np.full(len(copies), window)), axis=1).reshape(-1) if len(copies) else [])
             yield _batch({"i": b.column("i"), "t": b.column("t"), "spans": pa.array(out, pa.list_(pa.int32()))})
 
     return d.mapInArrow(rows, _keyed(d, "spans array<int>"))

@@ -69,16 +69,40 @@ def _powers(base: int, n: int, _have: dict = {}) -> np.ndarray:  # noqa: B006  g
     return _have[base]
 
 
-def stretch_hashes(h: np.ndarray, first: np.ndarray, length: np.ndarray, seed: int = 0x9E3779B97F4A7C15) -> np.ndarray:
-    """A hash of h[first:first + length] for each pair, from one running sum of the hashes times powers of an odd number.
+class Stretches:
+    """Two hashes of any stretch of words, from running sums of the word hashes times powers of an odd number.
 
-    The inverse powers shift every stretch to the start, so equal stretches have equal hashes wherever they stand.
+    The inverse powers shift a stretch to the start, so equal stretches have equal hashes wherever they stand.
     """
-    base = seed | 1
-    up, down = _powers(base, len(h) + 1), _powers(pow(base, -1, 1 << 64), len(h) + 1)
-    total = np.zeros(len(h) + 1, dtype=np.uint64)
-    np.add.accumulate(mix(h ^ np.uint64(seed)) * up[: len(h)], out=total[1:])
-    return mix((total[first + length] - total[first]) * down[first] + mix(length.astype(np.uint64) + np.uint64(seed)))
+
+    _BASES = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)
+
+    def __init__(self, h: np.ndarray):
+        n = len(h)
+        self.down = [_powers(pow(b, -1, 1 << 64), n + 1) for b in self._BASES]
+        self.total = [np.zeros(n + 1, dtype=np.uint64) for _ in self._BASES]
+        for words, base, total in zip((h, mix(h)), self._BASES, self.total):
+            np.add.accumulate(words * _powers(base, n + 1)[:n], out=total[1:])
+
+    def of(self, first: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of each stretch h[first:first + length]."""
+        size = length.astype(np.uint64) * np.uint64(self._BASES[0])
+        return tuple((t[first + length] - t[first]) * d[first] + size for t, d in zip(self.total, self.down))
+
+    def windows(self, n: int, which: int = 0) -> np.ndarray:
+        """Of every window of n words."""
+        t = self.total[which]
+        return (t[n:] - t[:-n]) * self.down[which][: max(0, len(t) - n)]
+
+
+def leftmost_minima(g: np.ndarray, width: int) -> np.ndarray:
+    """The place of the smallest value, the leftmost of equals, in every window of `width` values; windows double until they reach it."""
+    value, place, have = g, np.arange(len(g)), 1
+    while have < width:
+        step = min(have, width - have)
+        right = value[step:] < value[:-step]
+        value, place, have = np.where(right, value[step:], value[:-step]), np.where(right, place[step:], place[:-step]), have + step
+    return place
 
 
 def signed(x: np.ndarray) -> np.ndarray:
