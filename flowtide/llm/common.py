@@ -5,7 +5,11 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,5 +76,16 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACES), lambda w: w != "")
 
 
+def slices(texts: pa.Array, rows: int = 1000, size: int = 4 << 20) -> Iterator[pa.Array]:
+    """An array of texts in order, at most `rows` rows and `size` bytes at a time (or a single row), so that a worker's memory hangs on neither batch nor text sizes."""
+    ends = np.concatenate([[0], np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))])
+    start = 0
+    while start < len(texts):
+        fits = int(np.searchsorted(ends, ends[start] + size, side="right")) - 1
+        stop = min(max(fits, start + 1), start + rows, len(texts))
+        yield texts.slice(start, stop - start)
+        start = stop
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

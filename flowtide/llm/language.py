@@ -18,12 +18,15 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Iterator
 
 import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import slices
+
 BLOCK, LEVEL = 4096, 6
 UND = "und"
 OTHER = re.compile(r"[\W\d_]+")
@@ -103,9 +106,11 @@ def predictor(docs: DataFrame, classifier: Classifier):
     kind = pa.struct([("lang_pred", pa.string()), ("score", pa.float64()), ("margin", pa.float64())])
 
     @F.arrow_udf(PREDICTION)
-    def predict(text: pa.Array) -> pa.Array:
+    def predict(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         c = shared.value
-        return pa.array([dict(zip(("lang_pred", "score", "margin"), c.predict(x))) for x in text.to_pylist()], kind)
+        for batch in texts:
+            for text in slices(batch):
+                yield pa.array([dict(zip(("lang_pred", "score", "margin"), c.predict(x))) for x in text.to_pylist()], kind)
 
     return predict.asNondeterministic()  # or a filter on the prediction would compute it a second time
 

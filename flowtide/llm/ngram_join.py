@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint, small, stash
+from .common import checkpoint, slices, small, stash
 from .text_arrays import mix, signed, split, window_hashes, word_hashes
 
 N, THRESHOLD, RECALL = 5, 0.8, 0.999
@@ -80,14 +80,18 @@ def _embedded(docs: DataFrame, n: int, size: int) -> DataFrame:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         multipliers = _multipliers(size)
         for b in batches:
-            sets = [shingles(x, n) for x in b.column("text").to_pylist()]
-            keys = np.array([_set_key(s) for s in sets], dtype=np.int64).reshape(-1, 2)
-            mins = np.array([_embed(s, multipliers) if len(s) else np.zeros(size, np.uint64) for s in sets], dtype=np.uint64).reshape(-1)
-            ends = pa.array(np.arange(0, size * len(sets) + 1, size, dtype=np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [b.column("i"), b.column("t"), pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array([len(s) for s in sets], pa.int64()), pa.ListArray.from_arrays(ends, pa.array(signed(mins)))],
-                names=["i", "t", "hi", "lo", "n", "mins"],
-            )
+            start = 0
+            for text in slices(b.column("text")):
+                sets = [shingles(x, n) for x in text.to_pylist()]
+                keys = np.array([_set_key(s) for s in sets], dtype=np.int64).reshape(-1, 2)
+                mins = np.array([_embed(s, multipliers) if len(s) else np.zeros(size, np.uint64) for s in sets], dtype=np.uint64).reshape(-1)
+                ends = pa.array(np.arange(0, size * len(sets) + 1, size, dtype=np.int32))
+                i, t = (b.column(x).slice(start, len(text)) for x in ("i", "t"))
+                yield pa.RecordBatch.from_arrays(
+                    [i, t, pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array([len(s) for s in sets], pa.int64()), pa.ListArray.from_arrays(ends, pa.array(signed(mins)))],
+                    names=["i", "t", "hi", "lo", "n", "mins"],
+                )
+                start += len(text)
 
     return docs.mapInArrow(rows, f"i {docs.schema['i'].dataType.simpleString()}, t long, hi long, lo long, n long, mins array<long>")
 
@@ -97,8 +101,8 @@ def _sets(docs: DataFrame, n: int) -> DataFrame:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for k in range(0, b.num_rows, 500):
-                sets = [shingles(x, n) for x in b.column("text")[k : k + 500].to_pylist()]
+            for text in slices(b.column("text")):
+                sets = [shingles(x, n) for x in text.to_pylist()]
                 keys = np.array([_set_key(s) for s in sets], dtype=np.int64).reshape(-1, 2)
                 ends = pa.array(np.cumsum([0, *map(len, sets)]).astype(np.int32))
                 yield pa.RecordBatch.from_arrays([pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.ListArray.from_arrays(ends, pa.array(signed(np.concatenate(sets))))], names=["hi", "lo", "s"])

@@ -21,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import re
 from array import array
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import ahocorasick
@@ -29,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import slices
+
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
 NONE = float("-inf")
@@ -209,9 +212,11 @@ def token_count(spark: SparkSession, vocabulary: Vocabulary):
     shared = spark.sparkContext.broadcast(vocabulary)
 
     @F.arrow_udf("long")
-    def count(text: pa.Array) -> pa.Array:
+    def count(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         s = scanner(shared.value)
-        return pa.array([s.count(x) for x in text.to_pylist()], pa.int64())
+        for batch in texts:
+            for text in slices(batch):
+                yield pa.array([s.count(x) for x in text.to_pylist()], pa.int64())
 
     return count
 
@@ -221,8 +226,11 @@ def encoder(spark: SparkSession, vocabulary: Vocabulary):
     shared = spark.sparkContext.broadcast(vocabulary)
 
     @F.arrow_udf("array<int>")
-    def encode(text: pa.Array) -> pa.Array:
-        return _ids(scanner(shared.value), text)
+    def encode(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        s = scanner(shared.value)
+        for batch in texts:
+            for text in slices(batch):
+                yield _ids(s, text)
 
     return encode
 
@@ -272,10 +280,12 @@ def encode_and_decode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     @F.arrow_udf("struct<ids:array<int>,back:string>")
-    def code(text: pa.Array) -> pa.Array:
+    def code(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         s = scanner(shared.value)
-        found = _ids(s, text)
-        return pa.StructArray.from_arrays([found, _texts(s, found)], names=["ids", "back"])
+        for batch in texts:
+            for text in slices(batch):
+                found = _ids(s, text)
+                yield pa.StructArray.from_arrays([found, _texts(s, found)], names=["ids", "back"])
 
     d = docs.withColumn("__coded", code.asNondeterministic()(F.col(text)))  # computed once, however often it is used
     return d.withColumns({ids: F.col("__coded.ids"), back: F.col("__coded.back")}).drop("__coded")

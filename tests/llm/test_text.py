@@ -337,3 +337,15 @@ def test_queries_have_their_columns(spark):
             out = f(spark, "/root/testdata/sf0.001")
             assert want[name.split("_")[0]] <= set(out.columns)
             assert out.count() in (200, 250) or out.count() > 0
+
+
+def test_slices_bound_rows_and_bytes_and_keep_all():
+    from flowtide.llm.common import slices
+
+    texts = pa.array(["a" * 10, None, "", "b" * 90, "c" * 5, "é" * 3, None, "d"])
+    for rows, size in ((1, 1), (2, 1000), (1000, 20), (1000, 1 << 20)):
+        parts = list(slices(texts.slice(1), rows, size))
+        assert [x for p in parts for x in p.to_pylist()] == texts.to_pylist()[1:]
+        assert all(1 <= len(p) <= rows for p in parts)
+        assert all(len(p) == 1 or sum(len((x or "").encode()) for x in p.to_pylist()) <= size for p in parts)
+    assert list(slices(pa.array([], pa.string()))) == []
