@@ -6,6 +6,10 @@ moved within a document, or to another one, falls into the same chunks but for i
 lines or more that are the same byte for byte, the first stays (smallest doc_id, then earliest) and the
 others are removed. Hashes pick the candidates; grouping by the chunk's bytes decides.
 
+By that rule alone most pairs of equal lines end a chunk (with 4 as DIVISOR all do), so that a run of one line falls
+into one-line chunks, which stay. With `runs`, a line of `min_chars` characters or more that equals the line before
+is taken out first, and equal lines never end a chunk; a run of shorter lines stays together in one chunk.
+
 Lines keep a mark in front while they are together ("1" starts a chunk, "0" goes on with it), so that one
 split gives all chunks of a text in time that grows with its length.
 
@@ -30,12 +34,21 @@ def _line_hash(line: Column) -> Column:
     return F.conv(F.substring(F.md5(line), 1, 7), 16, 10).cast("long")
 
 
-def _marked(docs: DataFrame, text: str, divisor: int) -> DataFrame:
-    """Adds __ld_c, the text's marked chunks, and __ld_h, the text's hash."""
+def _without_repeats(lines: Column, min_chars: int) -> Column:
+    """The lines but for those of min_chars characters or more that equal the line before."""
+    before = F.concat(F.array(F.lit(None).cast("string")), F.slice(lines, 1, F.greatest(F.size(lines) - 1, F.lit(0))))
+    return F.array_compact(F.zip_with(lines, before, lambda x, y: F.when(y.isNull() | (x != y) | (F.length(x) < min_chars), x)))
+
+
+def _marked(docs: DataFrame, text: str, divisor: int, min_chars: int, runs: bool) -> DataFrame:
+    """Adds __ld_c, the text's marked chunks, __ld_n, its number of lines, and __ld_h, its hash."""
     n = F.size("__ld_l")
-    pair = lambda a, b: F.when((a * 31 + b) % divisor == 0, "1").otherwise("0")
+    pair = lambda a, b: F.when(((a * 31 + b) % divisor == 0) & ((a != b) | F.lit(not runs)), "1").otherwise("0")
     inner = F.greatest(n - 2, F.lit(0))
     docs = docs.withColumn("__ld_h", F.xxhash64(text)).withColumn("__ld_l", F.split(F.col(text), "\n", -1))
+    docs = docs.withColumn("__ld_n", F.when(F.col(text).isNull(), 0).otherwise(n).cast("long"))
+    if runs:
+        docs = docs.withColumn("__ld_l", _without_repeats(F.col("__ld_l"), min_chars))
     docs = docs.withColumn("__ld_a", F.transform("__ld_l", _line_hash))
     marks = F.concat(F.array(F.lit("1"), F.lit("0")), F.zip_with(F.slice("__ld_a", 1, inner), F.slice("__ld_a", 2, inner), pair))
     lines = F.zip_with("__ld_l", F.slice(marks, 1, n), lambda line, mark: F.concat(mark, line))
@@ -46,16 +59,16 @@ def _n_lines(chunk: Column) -> Column:
     return F.length(chunk) - F.length(F.replace(chunk, F.lit("\n"), F.lit(""))) + 1
 
 
-def _chunks(docs: DataFrame, doc_id: str, text: str, divisor: int, min_chars: int) -> DataFrame:
+def _chunks(docs: DataFrame, doc_id: str, text: str, divisor: int, min_chars: int, runs: bool) -> DataFrame:
     """i, h, p, chunk: chunks of two lines or more, with their place in the document."""
-    d = _marked(docs.select(F.col(doc_id).alias("i"), F.col(text).alias("t")), "t", divisor)
+    d = _marked(docs.select(F.col(doc_id).alias("i"), F.col(text).alias("t")), "t", divisor, min_chars, runs)
     c = d.select("i", F.col("__ld_h").alias("h"), F.posexplode("__ld_c").alias("p", "chunk"))
     return c.where(F.col("chunk").contains("\n") & (F.length("chunk") - _n_lines(F.col("chunk")) >= min_chars))
 
 
-def removals(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", divisor: int = DIVISOR, min_chars: int = MIN_CHARS) -> DataFrame:
+def removals(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", divisor: int = DIVISOR, min_chars: int = MIN_CHARS, runs: bool = False) -> DataFrame:
     """i (doc_id), h (hash of the text), gone: places of the chunks to remove, for documents that have any."""
-    chunks = _chunks(docs, doc_id, text, divisor, min_chars)
+    chunks = _chunks(docs, doc_id, text, divisor, min_chars, runs)
     code = F.xxhash64("chunk")
     repeated = stash(chunks.select(code.alias("c")).groupBy("c").agg(F.count("*").alias("n")).where("n > 1").select("c"), "repeated")
     candidates = stash(chunks.withColumn("c", code).join(small(repeated), "c", "left_semi"), "candidates")
@@ -66,16 +79,20 @@ def removals(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", diviso
     return stash(gone.groupBy("i", "h").agg(F.sort_array(F.collect_set("p")).alias("gone")), "removals")
 
 
-def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", divisor: int = DIVISOR, min_chars: int = MIN_CHARS) -> DataFrame:
-    """docs with repeated chunks taken out of the text, and n_lines and n_removed (longs) added as a struct column line_dedup."""
-    gone = removals(docs, doc_id, text, divisor, min_chars).select(F.col("i").alias("__ld_i"), F.col("h").alias("__ld_k"), F.col("gone").alias("__ld_g"))
-    d = _marked(docs, text, divisor)
+def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", divisor: int = DIVISOR, min_chars: int = MIN_CHARS, runs: bool = False) -> DataFrame:
+    """docs with repeated chunks taken out of the text, and n_lines and n_removed (longs) added as a struct column line_dedup.
+
+    runs: see above; ORACLE, and so op9_line_dedup, has the rule without it.
+    """
+    gone = removals(docs, doc_id, text, divisor, min_chars, runs).select(F.col("i").alias("__ld_i"), F.col("h").alias("__ld_k"), F.col("gone").alias("__ld_g"))
+    d = _marked(docs, text, divisor, min_chars, runs)
     d = d.join(small(gone, row_bytes=400), F.col(doc_id).eqNullSafe(F.col("__ld_i")) & (F.col("__ld_h") == F.col("__ld_k")), "left")
-    kept = F.filter("__ld_c", lambda c, p: ~F.array_contains("__ld_g", p))
-    lines = lambda chunks: F.coalesce(F.aggregate(F.transform(chunks, _n_lines), F.lit(0), lambda a, x: a + x), F.lit(0))
-    cleaned = F.regexp_replace(F.array_join(kept, "\n"), "(?dm)^[01]", "")
-    d = d.withColumn("line_dedup", F.struct(lines(F.col("__ld_c")).cast("long").alias("n_lines"), F.when(F.col("__ld_g").isNull(), 0).otherwise(lines(F.filter("__ld_c", lambda c, p: F.array_contains("__ld_g", p)))).cast("long").alias("n_removed")))
-    return d.withColumn(text, F.when(F.col("__ld_g").isNull(), F.col(text)).otherwise(cleaned)).drop("__ld_h", "__ld_c", "__ld_i", "__ld_k", "__ld_g")
+    d = d.withColumn("__ld_c", F.when(F.col("__ld_g").isNull(), F.col("__ld_c")).otherwise(F.filter("__ld_c", lambda c, p: ~F.array_contains("__ld_g", p))))
+    left = F.coalesce(F.aggregate(F.transform("__ld_c", _n_lines), F.lit(0), lambda a, x: a + x), F.lit(0))
+    d = d.withColumn("line_dedup", F.struct(F.col("__ld_n").alias("n_lines"), (F.col("__ld_n") - left).cast("long").alias("n_removed")))
+    cleaned = F.regexp_replace(F.array_join("__ld_c", "\n"), "(?dm)^[01]", "")
+    return d.withColumn(text, F.when(F.col("line_dedup.n_removed") == 0, F.col(text)).otherwise(cleaned)).drop("__ld_h", "__ld_n", "__ld_c", "__ld_i", "__ld_k", "__ld_g")
+
 
 
 ORACLE = f"""
