@@ -33,7 +33,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_chunks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes repeated chunks of lines, and repeats within runs of one line, out of the texts."""
-    return line_dedup.dedup_lines(docs, runs=True).withColumn("n_chars", F.length("text").cast("long")).drop("line_dedup")
+    return line_dedup.dedup_lines(docs, whole=True).withColumn("n_chars", F.length("text").cast("long")).drop("line_dedup")
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

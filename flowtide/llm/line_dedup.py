@@ -7,8 +7,10 @@ lines or more that are the same byte for byte, the first stays (smallest doc_id,
 others are removed. Hashes pick the candidates; grouping by the chunk's bytes decides.
 
 By that rule alone most pairs of equal lines end a chunk (with 4 as DIVISOR all do), so that a run of one line falls
-into one-line chunks, which stay. With `runs`, a line of `min_chars` characters or more that equals the line before
-is taken out first, and equal lines never end a chunk; a run of shorter lines stays together in one chunk.
+into one-line chunks, which stay, as about a quarter of all chunks do. With `whole`, a line of `min_chars` characters
+or more that equals the line before is taken out first; then chunks end where the hash of two neighbouring lines,
+modulo a prime, is below those on both sides, never between equal lines and never next to the text's first or last
+line. So every chunk of a text of two lines or more has two lines or more; a run of shorter lines stays in one chunk.
 
 Lines keep a mark in front while they are together ("1" starts a chunk, "0" goes on with it), so that one
 split gives all chunks of a text in time that grows with its length.
@@ -27,6 +29,8 @@ from pyspark.sql import functions as F
 from .common import small, stash
 
 DIVISOR, MIN_CHARS = 4, 32
+#: Below 2^28, the range of line hashes.
+PRIME = 268_435_399
 
 
 def _line_hash(line: Column) -> Column:
@@ -40,35 +44,49 @@ def _without_repeats(lines: Column, min_chars: int) -> Column:
     return F.array_compact(F.zip_with(lines, before, lambda x, y: F.when(y.isNull() | (x != y) | (F.length(x) < min_chars), x)))
 
 
-def _marked(docs: DataFrame, text: str, divisor: int, min_chars: int, runs: bool) -> DataFrame:
+def _minima() -> Column:
+    """Marks of the lines after the second and before the last, by local minima: at most one end in two places, so chunks have two lines or more."""
+    sub = lambda at, less: F.slice(F.col("__ld_q"), at, F.greatest(F.size("__ld_q") - less, F.lit(0)))
+    beside = F.zip_with(sub(1, 2), sub(3, 2), lambda x, y: F.least(x, y))
+    return F.concat(F.zip_with(sub(2, 2), beside, lambda x, y: F.when(x < y, "1").otherwise("0")), F.array(F.lit("0")))
+
+
+def _marked(docs: DataFrame, text: str, divisor: int, min_chars: int, whole: bool) -> DataFrame:
     """Adds __ld_c, the text's marked chunks, __ld_n, its number of lines, and __ld_h, its hash."""
     n = F.size("__ld_l")
-    pair = lambda a, b: F.when(((a * 31 + b) % divisor == 0) & ((a != b) | F.lit(not runs)), "1").otherwise("0")
-    inner = F.greatest(n - 2, F.lit(0))
     docs = docs.withColumn("__ld_h", F.xxhash64(text)).withColumn("__ld_l", F.split(F.col(text), "\n", -1))
     docs = docs.withColumn("__ld_n", F.when(F.col(text).isNull(), 0).otherwise(n).cast("long"))
-    if runs:
+    if whole:
         docs = docs.withColumn("__ld_l", _without_repeats(F.col("__ld_l"), min_chars))
     docs = docs.withColumn("__ld_a", F.transform("__ld_l", _line_hash))
-    marks = F.concat(F.array(F.lit("1"), F.lit("0")), F.zip_with(F.slice("__ld_a", 1, inner), F.slice("__ld_a", 2, inner), pair))
+    if whole:
+        pair = lambda a, b: F.when(a == b, PRIME).otherwise((a * 31 + b) % PRIME)
+        inner = F.greatest(n - 1, F.lit(0))
+        docs = docs.withColumn("__ld_q", F.zip_with(F.slice("__ld_a", 1, inner), F.slice("__ld_a", 2, inner), pair))
+        inside = _minima()
+    else:
+        pair = lambda a, b: F.when((a * 31 + b) % divisor == 0, "1").otherwise("0")
+        inner = F.greatest(n - 2, F.lit(0))
+        inside = F.zip_with(F.slice("__ld_a", 1, inner), F.slice("__ld_a", 2, inner), pair)
+    marks = F.concat(F.array(F.lit("1"), F.lit("0")), inside)
     lines = F.zip_with("__ld_l", F.slice(marks, 1, n), lambda line, mark: F.concat(mark, line))
-    return docs.withColumn("__ld_c", F.split(F.array_join(lines, "\n"), "\n(?=1)", -1)).drop("__ld_l", "__ld_a")
+    return docs.withColumn("__ld_c", F.split(F.array_join(lines, "\n"), "\n(?=1)", -1)).drop("__ld_l", "__ld_a", "__ld_q")
 
 
 def _n_lines(chunk: Column) -> Column:
     return F.length(chunk) - F.length(F.replace(chunk, F.lit("\n"), F.lit(""))) + 1
 
 
-def _chunks(docs: DataFrame, doc_id: str, text: str, divisor: int, min_chars: int, runs: bool) -> DataFrame:
+def _chunks(docs: DataFrame, doc_id: str, text: str, divisor: int, min_chars: int, whole: bool) -> DataFrame:
     """i, h, p, chunk: chunks of two lines or more, with their place in the document."""
-    d = _marked(docs.select(F.col(doc_id).alias("i"), F.col(text).alias("t")), "t", divisor, min_chars, runs)
+    d = _marked(docs.select(F.col(doc_id).alias("i"), F.col(text).alias("t")), "t", divisor, min_chars, whole)
     c = d.select("i", F.col("__ld_h").alias("h"), F.posexplode("__ld_c").alias("p", "chunk"))
     return c.where(F.col("chunk").contains("\n") & (F.length("chunk") - _n_lines(F.col("chunk")) >= min_chars))
 
 
-def removals(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", divisor: int = DIVISOR, min_chars: int = MIN_CHARS, runs: bool = False) -> DataFrame:
+def removals(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", divisor: int = DIVISOR, min_chars: int = MIN_CHARS, whole: bool = False) -> DataFrame:
     """i (doc_id), h (hash of the text), gone: places of the chunks to remove, for documents that have any."""
-    chunks = _chunks(docs, doc_id, text, divisor, min_chars, runs)
+    chunks = _chunks(docs, doc_id, text, divisor, min_chars, whole)
     code = F.xxhash64("chunk")
     repeated = stash(chunks.select(code.alias("c")).groupBy("c").agg(F.count("*").alias("n")).where("n > 1").select("c"), "repeated")
     candidates = stash(chunks.withColumn("c", code).join(small(repeated), "c", "left_semi"), "candidates")
@@ -79,13 +97,13 @@ def removals(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", diviso
     return stash(gone.groupBy("i", "h").agg(F.sort_array(F.collect_set("p")).alias("gone")), "removals")
 
 
-def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", divisor: int = DIVISOR, min_chars: int = MIN_CHARS, runs: bool = False) -> DataFrame:
+def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", divisor: int = DIVISOR, min_chars: int = MIN_CHARS, whole: bool = False) -> DataFrame:
     """docs with repeated chunks taken out of the text, and n_lines and n_removed (longs) added as a struct column line_dedup.
 
-    runs: see above; ORACLE, and so op9_line_dedup, has the rule without it.
+    whole: see above; ORACLE, and so op9_line_dedup, has the rule without it.
     """
-    gone = removals(docs, doc_id, text, divisor, min_chars, runs).select(F.col("i").alias("__ld_i"), F.col("h").alias("__ld_k"), F.col("gone").alias("__ld_g"))
-    d = _marked(docs, text, divisor, min_chars, runs)
+    gone = removals(docs, doc_id, text, divisor, min_chars, whole).select(F.col("i").alias("__ld_i"), F.col("h").alias("__ld_k"), F.col("gone").alias("__ld_g"))
+    d = _marked(docs, text, divisor, min_chars, whole)
     d = d.join(small(gone, row_bytes=400), F.col(doc_id).eqNullSafe(F.col("__ld_i")) & (F.col("__ld_h") == F.col("__ld_k")), "left")
     d = d.withColumn("__ld_c", F.when(F.col("__ld_g").isNull(), F.col("__ld_c")).otherwise(F.filter("__ld_c", lambda c, p: ~F.array_contains("__ld_g", p))))
     left = F.coalesce(F.aggregate(F.transform("__ld_c", _n_lines), F.lit(0), lambda a, x: a + x), F.lit(0))

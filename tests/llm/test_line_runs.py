@@ -1,6 +1,9 @@
 """Line dedup as the pipeline has it: runs of one line, short passages."""
 
+import random
+
 import corpus_pipeline
+from flowtide.llm import line_dedup
 
 A, B = "the one line that comes again and again", "some other line of more than the least length"
 
@@ -19,3 +22,22 @@ def test_runs_across_documents(spark):
     long, short = [A] * 5, ["short line, 22 letters"] * 6
     got = clean(spark, ["\n".join(["one", "two", *long, "three"]), "\n".join(["four", *[A] * 3, "five"]), "\n".join(short), "\n".join(short)])
     assert got == {0: f"one\ntwo\n{A}\nthree", 1: f"four\n{A}\nfive", 2: "\n".join(short), 3: ""}
+
+
+def test_copies_go_whole(spark):
+    """Whatever the lines, no chunk of a copy is left out of the comparison."""
+    rng = random.Random(3)
+    texts = ["\n".join(f"{rng.randrange(10**12)} is a line of a copied text" for _ in range(n)) for n in range(2, 60)]
+    got = clean(spark, texts * 2)
+    assert [got[i] for i in range(len(texts))] == texts
+    assert all(got[len(texts) + i] == "" for i in range(len(texts)))
+
+
+def test_every_chunk_has_two_lines(spark):
+    rng = random.Random(4)
+    texts = ["\n".join(f"line {rng.randrange(6)}" for _ in range(n)) for n in range(1, 80)]
+    d = spark.createDataFrame([(t,) for t in texts], "text string")
+    for r in line_dedup._marked(d, "text", line_dedup.DIVISOR, line_dedup.MIN_CHARS, True).collect():
+        chunks = ["\n".join(x[1:] for x in c.split("\n")) for c in r["__ld_c"]]
+        assert "\n".join(chunks) == r["text"] and (len(chunks) == 1 or all("\n" in c for c in chunks))
+        assert not any(a.split("\n")[-1] == b.split("\n")[0] for a, b in zip(chunks, chunks[1:]))
