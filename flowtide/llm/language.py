@@ -7,7 +7,7 @@ block is compressed with every dictionary, and the language with the smallest to
 ones, the first in the alphabet). The margin is the saving against the second best, as a share of the best
 total without frame overhead; a text whose margin is below `margin` is rejected as too close to call.
 
-Training: the sample takes, for each language, texts with the smallest hashes, `per_text` characters from
+Training: the sample takes, for each language, distinct texts with letters that have the smallest hashes, `per_text` characters from
 each, up to `dictionary` bytes. Prediction reads the text alone, all of it.
 
 Defined cases: null text, or text without a letter, is "und" with score 0 and rejected. With no labelled
@@ -30,6 +30,8 @@ from .common import slices
 BLOCK, LEVEL = 4096, 6
 UND = "und"
 OTHER = re.compile(r"[\W\d_]+")
+#: A character that OTHER leaves, for Spark.
+LETTER = r"[\p{L}\p{Nl}\p{No}]"
 #: Compressed bits a byte of text in the margin to log-odds; fitted once so that scores spread over 0 to 1.
 SHARPNESS = 60.0
 
@@ -80,11 +82,13 @@ class Classifier:
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", where: Column | None = None, dictionary: int = 32_768, per_text: int = 1024, languages: int = 100) -> Classifier:
     """One dictionary for each of the `languages` most frequent labels, from the texts where `where` holds."""
     rows = docs.select(F.col(lang).alias("l"), F.col(text).alias("t"), (F.lit(True) if where is None else where).alias("w"))
-    rows = rows.where("w and l is not null and t is not null").select("l", F.substring("t", 1, per_text).alias("t"), F.xxhash64("t").alias("h"))
+    rows = rows.where("w and l is not null and t is not null").select("l", F.substring("t", 1, per_text).alias("t"))
+    rows = rows.where(F.col("t").rlike(LETTER)).withColumn("h", F.xxhash64("t"))  # only texts that can fill a dictionary
     need = 2 * max(1, dictionary // per_text) + 16
-    counts = {r.l: r.n for r in rows.groupBy("l").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "l").limit(languages).collect()}
+    # Distinct texts are counted, as copies count once below; equal hashes are taken for equal texts here, in the count alone.
+    counts = {r.l: r.n for r in rows.select("l", "h").distinct().groupBy("l").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "l").limit(languages).collect()}
     out = {}
-    # The texts with the smallest hashes: a cut that lets about twice `need` rows of each language pass, then an exact top of those.
+    # The texts with the smallest hashes: a cut that lets about twice `need` distinct texts of each language pass, then an exact top of those.
     span = 1 << 63
     cut = F.lit(0).cast("long")
     for name, n in counts.items():
