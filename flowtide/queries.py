@@ -499,9 +499,13 @@ def cdc_chunk_counts(spark, sf_dir):
 MAX_BYTES = 16384
 
 
-def packed(spark, sf_dir) -> DataFrame:
-    """Phase 4 events in batches of MAX_BYTES; a stream is one transaction range, so that streams pack apart."""
-    e = events(spark, sf_dir, (3, 4, 5))
+#: Key changes and deletes alone: what _PACKED, the SQL of the seven queries over batches, takes of the log.
+SQL_PHASES = (3, 4, 5)
+
+
+def packed(spark, sf_dir, phases=(0, 1, 2, 3, 4, 5)) -> DataFrame:
+    """The log's events of some phases, all by default, in batches of MAX_BYTES, as one stream."""
+    e = events(spark, sf_dir, phases)
     w = Window.partitionBy("commit_lsn")
     e = e.withColumn("ends_tx", F.max("seq").over(w) == F.col("seq"))
     sizes = e.select(F.lit("orders").alias("stream"), F.struct("commit_lsn", "seq").alias("p"), (F.octet_length("value_json") + 1).cast("long").alias("bytes"), "ends_tx", "end_lsn", "commit_ts", "value_json", "commit_lsn", "seq")
@@ -518,16 +522,16 @@ t as (select *, batch % 7 <> 4 as done from a)
 
 @query(_PACKED + "select commit_lsn, seq, bytes, batch from b")
 def cdc_batch_packing(spark, sf_dir):
-    return packed(spark, sf_dir).select("commit_lsn", "seq", "bytes", "batch")
+    return packed(spark, sf_dir, SQL_PHASES).select("commit_lsn", "seq", "bytes", "batch")
 
 
 @query(_PACKED + "select * from a")
 def cdc_tx_ack(spark, sf_dir):
-    return ledger.ack_of_batches(packed(spark, sf_dir))
+    return ledger.ack_of_batches(packed(spark, sf_dir, SQL_PHASES))
 
 
 def batches(spark, sf_dir) -> DataFrame:
-    return ledger.ack_of_batches(packed(spark, sf_dir)).withColumn("done", F.col("batch") % 7 != 4)
+    return ledger.ack_of_batches(packed(spark, sf_dir, SQL_PHASES)).withColumn("done", F.col("batch") % 7 != 4)
 
 
 @query(_PACKED + "select coalesce(max(ack_lsn) filter (where undone = 0), 0) as flushed_lsn, coalesce(max(ack_lsn) filter (where done), 0) as delivered_lsn from (select *, sum(case when done then 0 else 1 end) over (order by batch) as undone from t)")
@@ -588,7 +592,7 @@ _BODY = ", y as (select batch, string_agg(value_json || chr(10), '' order by com
 
 def bodies(spark, sf_dir) -> DataFrame:
     rows = F.transform(F.sort_array(F.collect_list(F.struct("commit_lsn", "seq", "value_json"))), lambda x: F.concat(x["value_json"], F.lit("\n")))
-    return packed(spark, sf_dir).groupBy("batch").agg(F.array_join(rows, "").alias("body"))
+    return packed(spark, sf_dir, SQL_PHASES).groupBy("batch").agg(F.array_join(rows, "").alias("body"))
 
 
 @query(_PACKED + _BODY + f" select batch, 't=' || (1789898400 + batch) || ',v1=' || {hmac_sql('''(1789898400 + batch) || '.' || body''')} as signature, true as valid, false as late from y")
