@@ -11,7 +11,8 @@ Training: the sample takes, for each language, distinct texts with letters that
 each, up to `dictionary` bytes. Prediction reads the text alone, all of it.
 
 Defined cases: null text, or text without a letter, is "und" with score 0 and rejected. With no labelled
-text every prediction is "und". With a single language it is chosen with score 1.
+text every prediction is "und". With a single language it is chosen with score 1. Every label with a text that has a letter is learned; as each costs
+a dictionary and a compression of every text, more than `languages` of them are an error, never left out.
 """
 
 from __future__ import annotations
@@ -80,13 +81,15 @@ class Classifier:
 
 
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", where: Column | None = None, dictionary: int = 32_768, per_text: int = 1024, languages: int = 100) -> Classifier:
-    """One dictionary for each of the `languages` most frequent labels, from the texts where `where` holds."""
+    """One dictionary for each label, from the texts where `where` holds; an error if there are more than `languages`."""
     rows = docs.select(F.col(lang).alias("l"), F.col(text).alias("t"), (F.lit(True) if where is None else where).alias("w"))
     rows = rows.where("w and l is not null and t is not null").select("l", F.substring("t", 1, per_text).alias("t"))
     rows = rows.where(F.col("t").rlike(LETTER)).withColumn("h", F.xxhash64("t"))  # only texts that can fill a dictionary
     need = 2 * max(1, dictionary // per_text) + 16
     # Distinct texts are counted, as copies count once below; equal hashes are taken for equal texts here, in the count alone.
-    counts = {r.l: r.n for r in rows.select("l", "h").distinct().groupBy("l").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "l").limit(languages).collect()}
+    counts = {r.l: r.n for r in rows.select("l", "h").distinct().groupBy("l").agg(F.count("*").alias("n")).limit(languages + 1).collect()}
+    if len(counts) > languages:
+        raise ValueError(f"more than {languages} labels have texts with letters; raise `languages` to learn them all")
     out = {}
     # The texts with the smallest hashes: a cut that lets about twice `need` distinct texts of each language pass, then an exact top of those.
     span = 1 << 63

@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from flowtide.llm import language
@@ -21,3 +22,10 @@ def test_letterless_texts_do_not_crowd_out_a_language(spark):
     rows = [(f"{i} !?", "xx") for i in range(500)] + [("ba ko ti", "xx"), ("eln orm", "yy")]
     d = spark.createDataFrame(rows, "text string, lang string")
     assert language.train(d).dictionaries == {"xx": b" ba ko ti ", "yy": b" eln orm "}
+
+
+def test_no_label_is_left_out(spark):
+    d = spark.createDataFrame([("ba ko", "xx"), ("ba ti", "xx"), ("eln", "yy"), ("qu", "zz"), ("12", "no letters")], "text string, lang string")
+    assert set(language.train(d, languages=3).dictionaries) == {"xx", "yy", "zz"}
+    with pytest.raises(ValueError, match="more than 2 labels"):
+        language.train(d, languages=2)
