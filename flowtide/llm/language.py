@@ -8,7 +8,7 @@ ones, the first in the alphabet). The margin is the saving against the second be
 total without frame overhead; a text whose margin is below `margin` is rejected as too close to call.
 
 Training: the sample takes, for each language, distinct texts with letters that have the smallest hashes, `per_text` characters from
-each, up to `dictionary` bytes. Prediction reads the text alone, all of it.
+a hash-chosen place in each (a head that texts share fills no dictionary), up to `dictionary` bytes. Prediction reads the text alone, all of it.
 
 Defined cases: null text, or text without a letter, is "und" with score 0 and rejected. With no labelled
 text every prediction is "und". With a single language it is chosen with score 1. Every label with a text that has a letter is learned; as each costs
@@ -80,11 +80,18 @@ class Classifier:
         return names[order[0]], score, margin
 
 
+def _piece(text: Column, size: int) -> Column:
+    """`size` characters from a place that the text's hash chooses, from its first letter on if those have none; a shorter text whole."""
+    place = F.pmod(F.xxhash64(text), F.greatest(F.length(text) - size + 1, F.lit(1))).cast("int") + 1
+    piece = F.substring(text, place, size)
+    return F.when(piece.rlike(LETTER), piece).otherwise(F.substring(F.regexp_extract(text, f"(?s){LETTER}.*", 0), 1, size))
+
+
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", where: Column | None = None, dictionary: int = 32_768, per_text: int = 1024, languages: int = 100) -> Classifier:
     """One dictionary for each label, from the texts where `where` holds; an error if there are more than `languages`."""
     rows = docs.select(F.col(lang).alias("l"), F.col(text).alias("t"), (F.lit(True) if where is None else where).alias("w"))
-    rows = rows.where("w and l is not null and t is not null").select("l", F.substring("t", 1, per_text).alias("t"))
-    rows = rows.where(F.col("t").rlike(LETTER)).withColumn("h", F.xxhash64("t"))  # only texts that can fill a dictionary
+    rows = rows.where("w and l is not null and t is not null").where(F.col("t").rlike(LETTER))
+    rows = rows.select("l", _piece(F.col("t"), per_text).alias("t")).withColumn("h", F.xxhash64("t"))  # only texts that can fill a dictionary
     need = 2 * max(1, dictionary // per_text) + 16
     # Distinct texts are counted, as copies count once below; equal hashes are taken for equal texts here, in the count alone.
     counts = {r.l: r.n for r in rows.select("l", "h").distinct().groupBy("l").agg(F.count("*").alias("n")).limit(languages + 1).collect()}

@@ -29,3 +29,13 @@ def test_no_label_is_left_out(spark):
     assert set(language.train(d, languages=3).dictionaries) == {"xx", "yy", "zz"}
     with pytest.raises(ValueError, match="more than 2 labels"):
         language.train(d, languages=2)
+
+
+def test_shared_heads_do_not_fill_the_dictionaries(spark):
+    """Texts that open with one long licence, and a text that has letters only at its end."""
+    head = "permission is hereby granted free of charge to any person " * 40
+    kinds = {"xx": ["ba", "ko", "ti", "shu"], "yy": ["eln", "orm", "ast", "gro"]}
+    rows = [(head + " ".join(texts(f"{l}{i}", s, 40)), l) for l, s in kinds.items() for i in range(40)] + [("1 " * 3000 + "qu eau", "zz")]
+    c = language.train(spark.createDataFrame(rows, "text string, lang string"))
+    assert c.dictionaries["zz"] == b" qu eau "
+    assert all(c.predict(t)[0] == l and c.predict(t)[2] > 0.05 for l, s in kinds.items() for t in texts(l, s, 20))
