@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -24,9 +25,12 @@ _made: list[tuple[SparkSession, str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of our own only where the session names none."""
+    """The folder that driver and executors share. Where the session names none, one of our own if everything runs in this process, else an error."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not at:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         at = tempfile.mkdtemp(prefix="flowtide-")
         spark.sparkContext.setCheckpointDir(at)
     return at
@@ -47,6 +51,18 @@ def stash(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(at)
 
 
+@contextlib.contextmanager
+def scratch():
+    """Removes the tables that were stashed inside, but for those passed to the function it gives: what a finished stage leaves."""
+    before, kept = len(_made), set()
+    yield lambda df: (kept.update(df.inputFiles()), df)[1]
+    for spark, at in _made[before:]:
+        name = at.rstrip("/").rsplit("/", 1)[-1]
+        if not any(f"/{name}/" in f for f in kept):
+            _remove(spark, at)
+            _made.remove((spark, at))
+
+
 def _remove(spark: SparkSession, at: str) -> None:
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(at)

@@ -1,13 +1,14 @@
 """Operator 2, exact dedup, on DataFrame functions alone.
 
-Texts are equal when identical after each run of white space is replaced by one space. The first pass reads
-every text once, keeps its SHA-256 in a slim table and sets bits in a blocked counting Bloom filter: a hash
-picks a 64-bit word and two bits in it, and a bit counts once two rows have set it. The second pass tests
-every slim row: a row both of whose bits count may be repeated, any other row is alone for certain and
+Texts are equal when identical after each run of white space is replaced by one space. The first pass reads every text once, keeps
+its SHA-256 in a slim table and sets two bits in a 64-bit word of a blocked Bloom filter that tells what was set twice: a word's
+rows are counted, and its masks are combined by OR and by XOR. Of two rows, OR without XOR is what both set; of three or more every
+set bit counts as set twice. The filter has WORDS_A_ROW words a row, whatever the number of rows; only words that are hit take room.
+The second pass tests every slim row: one both of whose bits were set twice may be repeated, any other is alone for certain and
 passes straight through. Only the possible rows are grouped by their hash, after partial aggregation.
 
-The filter has at most MAX_WORDS words, which bounds its broadcast; beyond MAX_WORDS * 4 rows it lets more
-rows through to the grouping, which decides alone, so results don't depend on its size.
+Shuffled are one record of 32 bytes for each hit word and task, and the possible rows; texts never are. The words that hold
+repeats are broadcast if they are counted to fit the limit, else slim rows meet them by the word.
 
 Defined cases: null text counts as empty. Of equal texts the row with the smallest doc_id stays; a null
 doc_id comes after all others; of rows that repeat a doc_id one stays. An empty table gives an empty result.
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .common import SPACES, small, stash
 
-MAX_WORDS = 1 << 20
+WORDS_A_ROW = 8
 
 
 def normalised(text: Column) -> Column:
@@ -32,25 +33,24 @@ def _bits(slim: DataFrame, words: int) -> DataFrame:
     """Adds w, the filter's word, and m, a mask of the row's two bits."""
     a, b = F.xxhash64(F.lit(1), "h"), F.xxhash64(F.lit(2), "h")
     one = F.lit(1).cast("long")
-    at = lambda x: F.expr("shiftleft(1L, cast(pmod({}, 64) as int))".format(x))
     return (
         slim.withColumn("w", F.pmod(a, F.lit(words).cast("long")))
         .withColumn("b1", F.pmod(b, one * 64).cast("int"))
         .withColumn("b2", F.pmod(F.shiftright(b, 8), one * 64).cast("int"))
-        .withColumn("m", at("b1").bitwiseOR(at("b2")))
+        .withColumn("m", F.expr("shiftleft(1L, b1)").bitwiseOR(F.expr("shiftleft(1L, b2)")))
+        .drop("b1", "b2")
     )
 
 
-def decide(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", max_words: int = MAX_WORDS) -> DataFrame:
+def decide(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words_a_row: float = WORDS_A_ROW) -> DataFrame:
     """A row for each row of docs: doc_id, keep_id, group_size, kept, text_sha256."""
     slim = docs.select(F.col(doc_id).alias("i"), F.unhex(F.sha2(normalised(F.col(text)), 256)).alias("h"))
     slim = stash(slim.withColumn("r", F.monotonically_increasing_id()), "hashes")
-    n = slim.count()
-    words = min(max_words, 1 << max(4, (n // 4).bit_length()))
-    rows = _bits(slim, words)
-    hit = rows.select("w", F.explode(F.array_distinct(F.array("b1", "b2"))).alias("b")).groupBy("w", "b").agg(F.count("*").alias("n")).where("n > 1")
-    bits = hit.groupBy("w").agg(F.bit_or(F.expr("shiftleft(1L, b)")).alias("seen"))
-    tested = rows.join(F.broadcast(bits), "w", "left").withColumn("maybe", F.coalesce(F.col("seen").bitwiseAND(F.col("m")) == F.col("m"), F.lit(False))).select("i", "h", "r", "maybe")
+    rows = _bits(slim, max(1, round(words_a_row * slim.count())))
+    words = rows.groupBy("w").agg(F.count("*").alias("n"), F.bit_or("m").alias("any"), F.bit_xor("m").alias("odd")).where("n > 1")
+    twice = F.when(F.col("n") == 2, F.col("any").bitwiseAND(F.bitwise_not("odd"))).otherwise(F.col("any"))
+    bits = stash(words.select("w", twice.alias("seen")).where("seen <> 0"), "bits")
+    tested = rows.join(small(bits), "w", "left").withColumn("maybe", F.coalesce(F.col("seen").bitwiseAND(F.col("m")) == F.col("m"), F.lit(False))).select("i", "h", "r", "maybe")
 
     possible = tested.where("maybe").drop("maybe")
     first = F.min(F.struct(F.col("i").isNull().alias("none"), "i", "r"))

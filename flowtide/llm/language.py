@@ -8,38 +8,54 @@ ones, the first in the alphabet). The margin is the saving against the second be
 total without frame overhead; a text whose margin is below `margin` is rejected as too close to call.
 
 Training: the sample takes, for each language, distinct texts with letters that have the smallest hashes, `per_text` characters from
-a hash-chosen place in each (a head that texts share fills no dictionary), up to `dictionary` bytes. Prediction reads the text alone, all of it.
-
-Defined cases: null text, or text without a letter, is "und" with score 0 and rejected. With no labelled
-text every prediction is "und". With a single language it is chosen with score 1. Every label with a text that has a letter is learned; as each costs
-a dictionary and a compression of every text, more than `languages` of them are an error, never left out.
+a hash-chosen place in each (a head that texts share fills no dictionary), up to `dictionary` bytes. Every label with a text that has a
+letter is learned; with so many that their dictionaries would take more than `together` bytes, each gets an equal share of that, 512
+bytes at least. Prediction reads the text alone, all of it.
+
+Defined cases: a letter is a character of Unicode's category L. Null text, or text without a letter, is "und" with score 0 and
+rejected. With no labelled text every prediction is "und". With a single language it is chosen with score 1. Rows that repeat have
+equal results; copies of a text count once in training. An empty table gives an empty result. All columns are kept, but one that
+has the name of the output is replaced.
 """
 
 from __future__ import annotations
 
+import functools
 import math
 import re
 from collections.abc import Iterator
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import slices
+from .text_arrays import give_back
 
 BLOCK, LEVEL = 4096, 6
 UND = "und"
-OTHER = re.compile(r"[\W\d_]+")
-#: A character that OTHER leaves, for Spark.
-LETTER = r"[\p{L}\p{Nl}\p{No}]"
+#: A letter, for Spark.
+LETTER = r"\p{L}"
 #: Compressed bits a byte of text in the margin to log-odds; fitted once so that scores spread over 0 to 1.
 SHARPNESS = 60.0
 
 
+#: Python's word characters but for decimal digits and the underscore: letters, and other numbers such as fractions.
+OTHER = re.compile(r"[\W\d_]+")
+
+
+@functools.cache
+def _numbers() -> dict[int, str]:
+    """Those other numbers, each to a space."""
+    return {ord(c): " " for c in map(chr, range(0x80, 0x110000)) if c.isnumeric() and not c.isalpha() and not c.isdecimal()}
+
+
 def letters(text: str | None) -> bytes:
     """The text's words of letters alone, between single spaces; nothing if it has no letter."""
     found = OTHER.sub(" ", (text or "").lower()).strip()
+    if not found.isascii() and not _numbers().keys().isdisjoint(map(ord, found)):
+        found = " ".join(found.translate(_numbers()).split())
     return f" {found} ".encode("utf-8", "replace") if found else b""
 
 
@@ -87,28 +103,25 @@ def _piece(text: Column, size: int) -> Column:
     return F.when(piece.rlike(LETTER), piece).otherwise(F.substring(F.regexp_extract(text, f"(?s){LETTER}.*", 0), 1, size))
 
 
-def train(docs: DataFrame, text: str = "text", lang: str = "lang", where: Column | None = None, dictionary: int = 32_768, per_text: int = 1024, languages: int = 100) -> Classifier:
-    """One dictionary for each label, from the texts where `where` holds; an error if there are more than `languages`."""
-    rows = docs.select(F.col(lang).alias("l"), F.col(text).alias("t"), (F.lit(True) if where is None else where).alias("w"))
+def train(docs: DataFrame, text: str = "text", lang: str = "lang", where: Column | None = None, dictionary: int = 32_768, per_text: int = 1024, together: int = 4 << 20) -> Classifier:
+    """One dictionary for each label, from the texts where `where` holds."""
+    rows = docs.select(F.col(lang).cast("string").alias("l"), F.col(text).alias("t"), (F.lit(True) if where is None else where).alias("w"))
     rows = rows.where("w and l is not null and t is not null").where(F.col("t").rlike(LETTER))
     rows = rows.select("l", _piece(F.col("t"), per_text).alias("t")).withColumn("h", F.xxhash64("t"))  # only texts that can fill a dictionary
-    need = 2 * max(1, dictionary // per_text) + 16
     # Distinct texts are counted, as copies count once below; equal hashes are taken for equal texts here, in the count alone.
-    counts = {r.l: r.n for r in rows.select("l", "h").distinct().groupBy("l").agg(F.count("*").alias("n")).limit(languages + 1).collect()}
-    if len(counts) > languages:
-        raise ValueError(f"more than {languages} labels have texts with letters; raise `languages` to learn them all")
-    out = {}
+    counts = rows.select("l", "h").distinct().groupBy("l").agg(F.count("*").alias("n")).collect()  # a row for each label
+    size = max(512, min(dictionary, together // max(1, len(counts))))
+    need = 2 * max(1, size // per_text) + 16
     # The texts with the smallest hashes: a cut that lets about twice `need` distinct texts of each language pass, then an exact top of those.
     span = 1 << 63
-    cut = F.lit(0).cast("long")
-    for name, n in counts.items():
-        share = min(1.0, 2.0 * need / n)
-        cut = F.when(F.col("l") == name, F.lit(int(-span + min(2 * span - 1, share * 2 * span)))).otherwise(cut)
-    near = rows.where(F.col("h") <= cut)
-    for name in sorted(counts):
-        top = near.where(F.col("l") == name).select("t", "h").distinct().orderBy("h", "t").limit(need).collect()  # at most `need` texts of per_text characters
-        out[name] = b"".join(letters(r.t) for r in top)[:dictionary]
-    return Classifier({k: v for k, v in out.items() if v})
+    cuts = [(r.l, int(-span + min(2 * span - 1, min(1.0, 2.0 * need / r.n) * 2 * span))) for r in counts]
+    near = rows.join(F.broadcast(docs.sparkSession.createDataFrame(cuts, "l string, cut long")), "l").where("h <= cut").select("l", "h", "t").distinct()
+    rank = F.row_number().over(Window.partitionBy("l").orderBy("h", "t"))  # over about twice `need` rows of a label
+    top = near.withColumn("k", rank).where(F.col("k") <= need).collect()  # at most `need` texts of per_text characters a label
+    out: dict[str, bytes] = {}
+    for r in sorted(top, key=lambda r: (r.l, r.k)):
+        out[r.l] = out.get(r.l, b"") + letters(r.t)
+    return Classifier({k: v[:size] for k, v in out.items() if v})
 
 
 PREDICTION = "struct<lang_pred:string,score:double,margin:double>"
@@ -125,6 +138,7 @@ def predictor(docs: DataFrame, classifier: Classifier):
         for batch in texts:
             for text in slices(batch):
                 yield pa.array([dict(zip(("lang_pred", "score", "margin"), c.predict(x))) for x in text.to_pylist()], kind)
+        give_back()
 
     return predict.asNondeterministic()  # or a filter on the prediction would compute it a second time
 

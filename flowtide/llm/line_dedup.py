@@ -1,24 +1,20 @@
 """Operator 9, line dedup, on DataFrame functions alone.
 
-A text's lines are hashed, and a rolling hash over two line hashes chooses where chunks end: after a line
-whose hash with the one before is 0 modulo DIVISOR. The choice depends on nothing else, so a passage that
-moved within a document, or to another one, falls into the same chunks but for its edges. Of chunks of two
-lines or more that are the same byte for byte, the first stays (smallest doc_id, then earliest) and the
-others are removed. Hashes pick the candidates; grouping by the chunk's bytes decides.
-
-By that rule alone most pairs of equal lines end a chunk (with 4 as DIVISOR all do), so that a run of one line falls
-into one-line chunks, which stay, as about a quarter of all chunks do. With `whole`, a line of `min_chars` characters
-or more that equals the line before is taken out first; then chunks end where the hash of two neighbouring lines,
-modulo a prime, is below those on both sides, never between equal lines and never next to the text's first or last
-line. So every chunk of a text of two lines or more has two lines or more; a run of shorter lines stays in one chunk.
-
-Lines keep a mark in front while they are together ("1" starts a chunk, "0" goes on with it), so that one
-split gives all chunks of a text in time that grows with its length.
-
-Defined cases: null text stays null and has no lines; an empty text has one empty line. Chunks of fewer than
-`min_chars` characters stay. Rows that repeat both doc_id and text count as one document; a null doc_id
-comes before all others. An empty table gives an empty result. Columns are kept; those that begin with
-"__ld_" are taken.
+A line that equals the line before is taken out first, so that a run of one line is one line. The lines that are left are hashed,
+and a rolling hash over two line hashes chooses where chunks end: where the hash of two neighbouring lines, modulo a prime, is below
+those on both sides, never next to the text's first or last line. So every chunk of a text of two lines or more has two lines or more,
+and as the choice depends on the neighbourhood alone, a passage that moved within a document, or to another one, falls into the
+same chunks but for its edges. Of chunks of two lines or more that are the same byte for byte, the first stays (smallest doc_id,
+then earliest) and the others are removed. Hashes pick the candidates; grouping by the chunk's bytes decides.
+
+Lines keep a mark in front while they are together ("1" starts a chunk, "0" goes on with it), so that one split gives all chunks of
+a text in time that grows with its length. All texts are cut up once, for a table of slim rows (place and hash of each chunk); after
+that only texts with a repeated chunk are cut up again for its bytes, and only texts that change for their result.
+
+Defined cases: null text stays null and has no lines; an empty text has one empty line. Lines and chunks of fewer than `min_chars`
+characters stay: by default those that have no character at all. Rows that repeat both doc_id and text count as one document; a null
+doc_id comes before all others. An empty table gives an empty result. Columns are kept, but one called like the output is replaced;
+those that begin with "__ld_" are taken.
 """
 
 from __future__ import annotations
@@ -28,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .common import small, stash
 
-DIVISOR, MIN_CHARS = 4, 32
+MIN_CHARS = 1
 #: Below 2^28, the range of line hashes.
 PRIME = 268_435_399
 
@@ -51,78 +47,73 @@ def _minima() -> Column:
     return F.concat(F.zip_with(sub(2, 2), beside, lambda x, y: F.when(x < y, "1").otherwise("0")), F.array(F.lit("0")))
 
 
-def _marked(docs: DataFrame, text: str, divisor: int, min_chars: int, whole: bool) -> DataFrame:
-    """Adds __ld_c, the text's marked chunks, __ld_n, its number of lines, and __ld_h, its hash."""
+def _marked(docs: DataFrame, text: Column, min_chars: int) -> DataFrame:
+    """Adds __ld_c, the marked chunks of a text (null for null), and __ld_m, the number of its lines."""
+    docs = docs.withColumn("__ld_l", F.split(text, "\n", -1)).withColumn("__ld_m", F.size("__ld_l"))
+    docs = docs.withColumn("__ld_l", _without_repeats(F.col("__ld_l"), min_chars)).withColumn("__ld_a", F.transform("__ld_l", _line_hash))
     n = F.size("__ld_l")
-    docs = docs.withColumn("__ld_h", F.xxhash64(text)).withColumn("__ld_l", F.split(F.col(text), "\n", -1))
-    docs = docs.withColumn("__ld_n", F.when(F.col(text).isNull(), 0).otherwise(n).cast("long"))
-    if whole:
-        docs = docs.withColumn("__ld_l", _without_repeats(F.col("__ld_l"), min_chars))
-    docs = docs.withColumn("__ld_a", F.transform("__ld_l", _line_hash))
-    if whole:
-        pair = lambda a, b: F.when(a == b, PRIME).otherwise((a * 31 + b) % PRIME)
-        inner = F.greatest(n - 1, F.lit(0))
-        docs = docs.withColumn("__ld_q", F.zip_with(F.slice("__ld_a", 1, inner), F.slice("__ld_a", 2, inner), pair))
-        inside = _minima()
-    else:
-        pair = lambda a, b: F.when((a * 31 + b) % divisor == 0, "1").otherwise("0")
-        inner = F.greatest(n - 2, F.lit(0))
-        inside = F.zip_with(F.slice("__ld_a", 1, inner), F.slice("__ld_a", 2, inner), pair)
-    marks = F.concat(F.array(F.lit("1"), F.lit("0")), inside)
+    inner = F.greatest(n - 1, F.lit(0))
+    pair = lambda a, b: F.when(a == b, PRIME).otherwise((a * 31 + b) % PRIME)
+    docs = docs.withColumn("__ld_q", F.zip_with(F.slice("__ld_a", 1, inner), F.slice("__ld_a", 2, inner), pair))
+    marks = F.concat(F.array(F.lit("1"), F.lit("0")), _minima())
     lines = F.zip_with("__ld_l", F.slice(marks, 1, n), lambda line, mark: F.concat(mark, line))
-    return docs.withColumn("__ld_c", F.split(F.array_join(lines, "\n"), "\n(?=1)", -1)).drop("__ld_l", "__ld_a", "__ld_q")
-
-
-def _n_lines(chunk: Column) -> Column:
-    return F.length(chunk) - F.length(F.replace(chunk, F.lit("\n"), F.lit(""))) + 1
-
-
-def _chunks(docs: DataFrame, doc_id: str, text: str, divisor: int, min_chars: int, whole: bool) -> DataFrame:
-    """i, h, p, chunk: chunks of two lines or more, with their place in the document."""
-    d = _marked(docs.select(F.col(doc_id).alias("i"), F.col(text).alias("t")), "t", divisor, min_chars, whole)
-    c = d.select("i", F.col("__ld_h").alias("h"), F.posexplode("__ld_c").alias("p", "chunk"))
-    return c.where(F.col("chunk").contains("\n") & (F.length("chunk") - _n_lines(F.col("chunk")) >= min_chars))
-
-
-def removals(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", divisor: int = DIVISOR, min_chars: int = MIN_CHARS, whole: bool = False) -> DataFrame:
-    """i (doc_id), h (hash of the text), gone: places of the chunks to remove, for documents that have any."""
-    chunks = _chunks(docs, doc_id, text, divisor, min_chars, whole)
-    code = F.xxhash64("chunk")
-    repeated = stash(chunks.select(code.alias("c")).groupBy("c").agg(F.count("*").alias("n")).where("n > 1").select("c"), "repeated")
-    candidates = stash(chunks.withColumn("c", code).join(small(repeated), "c", "left_semi"), "candidates")
-    place = F.struct("i", "h", "p")
-    first = candidates.groupBy("c", "chunk").agg(F.min(place).alias("f")).select("f.*")
-    same = lambda x, y: F.expr(" and ".join(f"{x}.{k} <=> {y}.{k}" for k in "ihp"))
-    gone = candidates.select("i", "h", "p").alias("x").join(first.alias("y").hint("merge"), same("x", "y"), "left_anti")
-    return stash(gone.groupBy("i", "h").agg(F.sort_array(F.collect_set("p")).alias("gone")), "removals")
-
-
-def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", divisor: int = DIVISOR, min_chars: int = MIN_CHARS, whole: bool = False) -> DataFrame:
-    """docs with repeated chunks taken out of the text, and n_lines and n_removed (longs) added as a struct column line_dedup.
-
-    whole: see above; ORACLE, and so op9_line_dedup, has the rule without it.
-    """
-    gone = removals(docs, doc_id, text, divisor, min_chars, whole).select(F.col("i").alias("__ld_i"), F.col("h").alias("__ld_k"), F.col("gone").alias("__ld_g"))
-    d = _marked(docs, text, divisor, min_chars, whole)
-    d = d.join(small(gone, row_bytes=400), F.col(doc_id).eqNullSafe(F.col("__ld_i")) & (F.col("__ld_h") == F.col("__ld_k")), "left")
-    d = d.withColumn("__ld_c", F.when(F.col("__ld_g").isNull(), F.col("__ld_c")).otherwise(F.filter("__ld_c", lambda c, p: ~F.array_contains("__ld_g", p))))
-    left = F.coalesce(F.aggregate(F.transform("__ld_c", _n_lines), F.lit(0), lambda a, x: a + x), F.lit(0))
-    d = d.withColumn("line_dedup", F.struct(F.col("__ld_n").alias("n_lines"), (F.col("__ld_n") - left).cast("long").alias("n_removed")))
+    return docs.withColumn("__ld_c", F.split(F.array_join(lines, "\n"), "\n(?=1)", -1)).withColumn("__ld_m", F.col("__ld_m") - n).drop("__ld_l", "__ld_a", "__ld_q")
+
+
+def _n_lines(text: Column) -> Column:
+    return F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
+
+
+_SAME = "d.i <=> x.i and d.h = x.h"
+
+
+def changes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
+    """i (doc_id), h (hash of the text), gone (places of the chunks to remove), for documents that lose a chunk or a line of a run."""
+    d = docs.select(F.col(doc_id).alias("i"), F.xxhash64(text).alias("h"), F.col(text).alias("t"))
+    cut = _marked(d, F.col("t"), min_chars).select("i", "h", "__ld_m", F.posexplode("__ld_c").alias("p", "chunk"))
+    full = F.col("chunk").contains("\n") & (F.length("chunk") - _n_lines(F.col("chunk")) - _n_lines(F.col("chunk")) + 1 >= min_chars)
+    # chunks that can be compared, and one row for each text that has lost lines of a run
+    slim = stash(cut.where(full | ((F.col("__ld_m") > 0) & (F.col("p") == 0))).select("i", "h", "p", F.when(full, F.xxhash64("chunk")).alias("c"), (F.col("__ld_m") > 0).alias("m")), "chunks")
+    repeated = stash(slim.where("c is not null").groupBy("c").agg(F.count("*").alias("n")).where("n > 1").select("c"), "repeated")
+    hit = slim.join(small(repeated), "c", "left_semi").groupBy("i", "h").agg(F.collect_set("p").alias("at"))
+    hit = stash(hit, "hit")
+    again = d.alias("d").join(small(hit, row_bytes=400).alias("x"), F.expr(_SAME)).select("d.i", "d.h", "d.t", "x.at")
+    again = _marked(again, F.col("t"), min_chars).select("i", "h", F.explode(F.transform("at", lambda p: F.struct(p.alias("p"), F.col("__ld_c")[p].alias("chunk")))).alias("x"))
+    candidates = stash(again.select("i", "h", "x.p", "x.chunk"), "candidates")
+    first = candidates.groupBy("chunk").agg(F.min(F.struct("i", "h", "p")).alias("f")).select("f.*")
+    gone = candidates.select("i", "h", "p").alias("d").join(first.alias("x").hint("merge"), F.expr(_SAME + " and d.p = x.p"), "left_anti")
+    both = gone.select("i", "h", "p").unionByName(slim.where("m").select("i", "h", F.lit(None).cast("int").alias("p")))
+    return stash(both.groupBy("i", "h").agg(F.sort_array(F.collect_set("p")).alias("gone")), "changes")
+
+
+def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS, out: str = "line_dedup") -> DataFrame:
+    """docs with repeated chunks and the repeats of runs taken out of the text, and n_lines and n_removed (longs) added as the struct `out`."""
+    gone = changes(docs, doc_id, text, min_chars).select(F.col("i").alias("__ld_i"), F.col("h").alias("__ld_k"), F.col("gone").alias("__ld_g"))
+    d = docs.join(small(gone, row_bytes=400), F.col(doc_id).eqNullSafe(F.col("__ld_i")) & (F.xxhash64(text) == F.col("__ld_k")), "left")
+    d = _marked(d, F.when(F.col("__ld_g").isNotNull(), F.col(text)), min_chars)  # texts that stay as they are aren't cut up
+    d = d.withColumn("__ld_c", F.filter("__ld_c", lambda c, p: ~F.array_contains("__ld_g", p)))
+    left = F.aggregate(F.transform("__ld_c", _n_lines), F.lit(0), lambda a, x: a + x)
+    n = F.coalesce(_n_lines(F.col(text)), F.lit(0)).cast("long")
+    d = d.withColumn("__ld_n", n).withColumn("__ld_r", F.coalesce(F.col("__ld_n") - left, F.lit(0)).cast("long"))
     cleaned = F.regexp_replace(F.array_join("__ld_c", "\n"), "(?dm)^[01]", "")
-    return d.withColumn(text, F.when(F.col("line_dedup.n_removed") == 0, F.col(text)).otherwise(cleaned)).drop("__ld_h", "__ld_n", "__ld_c", "__ld_i", "__ld_k", "__ld_g")
-
+    d = d.withColumn(text, F.when(F.col("__ld_g").isNull(), F.col(text)).otherwise(cleaned))
+    return d.withColumn(out, F.struct(F.col("__ld_n").alias("n_lines"), F.col("__ld_r").alias("n_removed"))).drop("__ld_n", "__ld_r", "__ld_c", "__ld_m", "__ld_i", "__ld_k", "__ld_g")
 
 
 ORACLE = f"""
 with d as (select doc_id, text, string_split(text, chr(10)) as ls from documents),
-l as (select doc_id, text, unnest(ls) as line, generate_subscripts(ls, 1) as i from d where text is not null),
-h as (select *, ('0x' || substr(md5(line), 1, 7))::bigint as a from l),
-e as (select *, case when i > 1 and (lag(a) over w * 31 + a) % {DIVISOR} = 0 then 1 else 0 end as ends from h window w as (partition by doc_id order by i)),
+l as (select doc_id, unnest(ls) as line, generate_subscripts(ls, 1) as j from d where text is not null),
+y as (select *, lag(line) over (partition by doc_id order by j) as above from l),
+u as (select doc_id, line, row_number() over (partition by doc_id order by j) as i, ('0x' || substr(md5(line), 1, 7))::bigint as a from y where above is null or line <> above or length(line) < {MIN_CHARS}),
+v as (select *, lead(a) over (partition by doc_id order by i) as b from u),
+q as (select *, case when b = a then {PRIME} else (a * 31 + b) % {PRIME} end as q from v),
+e as (select *, case when q < lag(q) over w and q < lead(q) over w then 1 else 0 end as ends from q window w as (partition by doc_id order by i)),
 k as (select *, coalesce(sum(ends) over (partition by doc_id order by i rows between unbounded preceding and 1 preceding), 0) as p from e),
 c as (select doc_id, p, string_agg(line, chr(10) order by i) as chunk, count(*) as n from k group by doc_id, p),
 r as (select *, n > 1 and length(chunk) - n + 1 >= {MIN_CHARS} as multi from c),
 g as (select *, multi and row_number() over (partition by chunk, multi order by doc_id, p) > 1 as gone from r),
-o as (select doc_id, sum(n)::bigint as n_lines, coalesce(sum(n) filter (where gone), 0)::bigint as n_removed,
-             sha256(coalesce(string_agg(chunk, chr(10) order by p) filter (where not gone), '')) as kept_sha256 from g group by doc_id)
-select d.doc_id, coalesce(n_lines, 0) as n_lines, coalesce(n_removed, 0) as n_removed, kept_sha256 from d left join o using (doc_id)
+o as (select doc_id, sum(n) filter (where not gone) as kept, string_agg(chunk, chr(10) order by p) filter (where not gone) as t from g group by doc_id),
+z as (select doc_id, count(*) as n from l group by doc_id)
+select d.doc_id, coalesce(z.n, 0) as n_lines, coalesce(z.n - coalesce(o.kept, 0), 0)::bigint as n_removed, case when d.text is not null then sha256(coalesce(o.t, '')) end as kept_sha256
+from d left join z using (doc_id) left join o using (doc_id)
 """

@@ -8,8 +8,8 @@ above it by a third. What a path ends in is searched by brute force: the embedde
 agree on fewer tokens than similar ones could are left), then the whole sets, exactly. The number of runs
 follows from the target recall at the threshold, for a path of full depth.
 
-No bucket is capped. Buckets with the same members are searched once. One above BLOCK is searched block
-against block, each pair of blocks in a task of its own, so no task holds more than two blocks. A pair found in
+No bucket is capped. Buckets with the same members are searched once. One above BLOCK members or BLOCK_TOKENS
+tokens is searched block against block, each pair of blocks in a task of its own, so no task holds more than two blocks. A pair found in
 several buckets is counted in the one with the smallest key, so links are counted where they are found and
 no list of pairs is ever written: rows grow with the documents.
 
@@ -33,10 +33,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import checkpoint, slices, small, stash
-from .text_arrays import mix, signed, split, window_hashes, word_hashes
+from .text_arrays import Words, give_back, mix, signed, window_hashes
 
 N, THRESHOLD, RECALL = 5, 0.8, 0.999
 DEPTH, LIMIT, BLOCK = 3, 64, 384
+#: Tokens of the sets that a block holds on average, 8 bytes each.
+BLOCK_TOKENS = 1 << 20
 
 
 def runs_for(threshold: float, recall: float, depth: int = DEPTH) -> int:
@@ -53,10 +55,18 @@ def least_agreement(size: int, threshold: float, miss: float = 1e-5) -> int:
         k += 1
 
 
+def sets_of(texts, n: int = N) -> list[np.ndarray]:
+    """Sorted distinct n-gram hashes of each text."""
+    words = Words(texts)
+    h = words.hashes()
+    grams, out = window_hashes(h, n), []
+    for a, z in zip(words.at.tolist(), words.at[1:].tolist()):
+        out.append(np.unique(grams[a : z - n + 1] if z - a >= n else window_hashes(h[a:z], z - a)) if z > a else h[:0])
+    return out
+
+
 def shingles(text: str | None, n: int = N) -> np.ndarray:
-    """Sorted distinct n-gram hashes."""
-    h = word_hashes(split(text))
-    return np.unique(window_hashes(h, min(n, len(h)))) if len(h) else h
+    return sets_of([text], n)[0]
 
 
 def _embed(s: np.ndarray, multipliers: np.ndarray) -> np.ndarray:
@@ -82,7 +92,7 @@ def _embedded(docs: DataFrame, n: int, size: int) -> DataFrame:
         for b in batches:
             start = 0
             for text in slices(b.column("text")):
-                sets = [shingles(x, n) for x in text.to_pylist()]
+                sets = sets_of(text, n)
                 keys = np.array([_set_key(s) for s in sets], dtype=np.int64).reshape(-1, 2)
                 mins = np.array([_embed(s, multipliers) if len(s) else np.zeros(size, np.uint64) for s in sets], dtype=np.uint64).reshape(-1)
                 ends = pa.array(np.arange(0, size * len(sets) + 1, size, dtype=np.int32))
@@ -92,6 +102,7 @@ def _embedded(docs: DataFrame, n: int, size: int) -> DataFrame:
                     names=["i", "t", "hi", "lo", "n", "mins"],
                 )
                 start += len(text)
+        give_back()
 
     return docs.mapInArrow(rows, f"i {docs.schema['i'].dataType.simpleString()}, t long, hi long, lo long, n long, mins array<long>")
 
@@ -102,10 +113,11 @@ def _sets(docs: DataFrame, n: int) -> DataFrame:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for text in slices(b.column("text")):
-                sets = [shingles(x, n) for x in text.to_pylist()]
+                sets = sets_of(text, n)
                 keys = np.array([_set_key(s) for s in sets], dtype=np.int64).reshape(-1, 2)
                 ends = pa.array(np.cumsum([0, *map(len, sets)]).astype(np.int32))
                 yield pa.RecordBatch.from_arrays([pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.ListArray.from_arrays(ends, pa.array(signed(np.concatenate(sets))))], names=["hi", "lo", "s"])
+        give_back()
 
     return docs.mapInArrow(rows, "hi long, lo long, s array<long>")
 
@@ -127,11 +139,11 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.T
 
 
 def _blocks(members: DataFrame, block: int) -> DataFrame:
-    """Deals members (bucket, c, ...) to pairs of blocks (x, y), a block for every `block` members; side tells the member's block."""
-    sizes = stash(members.groupBy("bucket").agg(F.count("*").alias("size")), "sizes")
-    nb = F.ceil(F.col("size") / block).cast("int")
+    """Deals members (bucket, c, n, ...) to pairs of blocks (x, y), a block for every `block` members or BLOCK_TOKENS tokens; side tells the member's block."""
+    sizes = stash(members.groupBy("bucket").agg(F.count("*").alias("size"), F.sum("n").alias("tokens")), "sizes")
+    nb = F.ceil(F.greatest(F.col("size") / block, F.least(F.col("tokens") / BLOCK_TOKENS, F.col("size")))).cast("int")
     d = members.join(small(sizes), "bucket").withColumn("side", F.pmod(F.xxhash64("c"), nb).cast("int"))
-    d = d.withColumn("other", F.explode(F.sequence(F.lit(0), nb - 1))).drop("size")
+    d = d.withColumn("other", F.explode(F.sequence(F.lit(0), nb - 1))).drop("size", "tokens", "n")
     d = d.withColumn("x", F.least("side", "other")).withColumn("y", F.greatest("side", "other")).drop("other")
     return d.repartition("bucket", "x", "y").sortWithinPartitions("bucket", "x", "y")
 
@@ -260,7 +272,7 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = N
     size = runs * depth
     rows = docs.select(F.col(doc_id).alias("i"), F.xxhash64(text).alias("t"), F.col(text).alias("text"))
     all_rows = stash(_embedded(rows, n, size), "sets")
-    classes = all_rows.where("n > 0").groupBy("hi", "lo").agg(F.min(F.struct("i", "t")).alias("first"), F.count("*").alias("copies"), F.any_value("mins").alias("mins"))
+    classes = all_rows.where("n > 0").groupBy("hi", "lo").agg(F.min(F.struct("i", "t")).alias("first"), F.count("*").alias("copies"), F.any_value("mins").alias("mins"), F.any_value("n").alias("n"))
     classes = stash(classes.withColumn("c", F.monotonically_increasing_id()), "classes")
 
     paths = [F.struct(*(F.xxhash64(F.lit(r), *(F.col("mins")[r * depth + d] for d in range(k + 1))).alias(f"k{k}") for k in range(depth))) for r in range(runs)]
@@ -279,20 +291,20 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = N
     once = stash(found.groupBy("bucket").agg(members.alias("m")).groupBy("m").agg(F.min("bucket").alias("bucket")).select("bucket"), "buckets")
     found = stash(found.join(small(once), "bucket", "left_semi"), "members")
 
-    alike = _alike(_blocks(found.join(classes.select("c", "mins"), "c"), block), least_agreement(size, threshold))
+    alike = _alike(_blocks(found.join(classes.select("c", "mins", F.lit(size).alias("n")), "c"), block), least_agreement(size, threshold))
     alike = stash(alike.distinct(), "alike")
     keys = alike.groupBy("c").agg(F.sort_array(F.collect_set("bucket")).alias("keys"))
-    wanted = stash(keys.join(classes.select("c", "hi", "lo", F.col("first.i").alias("i"), F.col("first.t").alias("t")), "c"), "wanted")
+    wanted = stash(keys.join(classes.select("c", "n", "hi", "lo", F.col("first.i").alias("i"), F.col("first.t").alias("t")), "c"), "wanted")
     d = rows.alias("d").join(small(wanted.select("i", "t")).alias("w"), F.expr("d.i <=> w.i and d.t = w.t"), "left_semi").select("text")
     sets = _sets(d, n).dropDuplicates(["hi", "lo"]).join(wanted, ["hi", "lo"])
-    linked = stash(_linked(_blocks(stash(sets.select("c", "keys", "s", F.explode("keys").alias("bucket")), "searched"), block), threshold), "linked")
+    linked = stash(_linked(_blocks(stash(sets.select("c", "n", "keys", "s", F.explode("keys").alias("bucket")), "searched"), block), threshold), "linked")
 
     links = linked.groupBy("c").agg(F.sum("links").alias("n_links"))
     groups = components(linked.select(F.col("c").alias("u"), F.col("root").alias("v")))
     named = stash(groups.join(classes.select(F.col("c").alias("u"), "first"), "u"), "named")
     least = stash(named.groupBy("label").agg(F.min("first").alias("group")), "groups")
     named = named.join(small(least), "label").select(F.col("u").alias("c"), "group")
-    about = stash(classes.drop("mins").join(links, "c", "left").join(named, "c", "left").where("copies > 1 or n_links is not null").select("hi", "lo", "first", "copies", "n_links", F.coalesce("group", "first").alias("group")), "about")
+    about = stash(classes.drop("mins", "n").join(links, "c", "left").join(named, "c", "left").where("copies > 1 or n_links is not null").select("hi", "lo", "first", "copies", "n_links", F.coalesce("group", "first").alias("group")), "about")
     out = all_rows.where("n > 0").select("i", "t", "hi", "lo").join(small(about, row_bytes=160), ["hi", "lo"], "left").drop("hi", "lo")
     out = out.unionByName(all_rows.where("n = 0").select("i", "t"), allowMissingColumns=True)
     own = F.struct("i", "t")

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, language, line_dedup, media, mixing, ngram_join, substring_dedup, unigram, url_filter
+from . import exact_dedup, language, line_dedup, media, mixing, ngram_join, substring_dedup, topics, unigram, url_filter
 from .common import table
 
 #: A parameter: the SentencePiece model whose pieces are read as a unigram vocabulary.
@@ -47,19 +47,25 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def mix_marginals() -> list[mixing.Marginal]:
-    """The production mix: even sources, English at half, mostly prose."""
+#: Topics that the mix is made of.
+TOPICS = 6
+
+
+def mix_marginals(topic: Column) -> list[mixing.Marginal]:
+    """The production mix: even sources, English at half, even topics."""
     return [
         mixing.Marginal("source_level", F.col("source"), {f"src{i}": 0.045 for i in range(20)}),
         mixing.Marginal("lang_level", F.col("lang"), {"en": 0.45, "de": 0.2, "fr": 0.2, "es": 0.1}),
-        mixing.Marginal("topic", mixing.kind_of_text(F.col("text")), {"prose": 0.8, "licensed": 0.1, "table": 0.04, "marked": 0.03, "shouted": 0.03}),
+        mixing.Marginal("topic", topic, {f"topic{k}": 0.95 / TOPICS for k in range(TOPICS)}),
     ]
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, source_level, lang_level, topic, n_tokens, weight, p, kept."""
-    docs = table(spark, sf_dir, "documents")
-    return mixing.mix(docs, mix_marginals(), budget=0.5).select("doc_id", "mixing.*")
+    """doc_id, source_level, lang_level, topic, reached_ of each, n_tokens (words), weight, p, kept."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    about = topics.assigner(docs, topics.learn(docs, topics=TOPICS))
+    docs = docs.withColumn("about", about(F.col("text")))
+    return mixing.mix(docs, mix_marginals(F.col("about.topic")), 0.5, F.col("about.n_words"), without=("text", "about")).select("doc_id", "mixing.*")
 
 
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,33 +1,17 @@
-"""Word hashes and word windows of texts as numpy arrays."""
+"""Words, word hashes and word windows of whole batches of texts as numpy arrays."""
 
 from __future__ import annotations
 
-import numpy as np
-import xxhash
-
-_MEMO_ENTRIES = 400_000
-
-
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        value = xxhash.xxh3_64_intdigest(word)
-        if len(word) <= 64:
-            if len(self) >= _MEMO_ENTRIES:
-                self.clear()
-            self[word] = value
-        return value
-
-
-_hashes = _Hashes()
-
-
-def split(text: str | None) -> list[bytes]:
-    """The words, unchanged; splitting bytes parts at space, tab, line feed, vertical tab, form feed and carriage return and at nothing else."""
-    return text.encode("utf-8", "replace").split() if text else []
+import ctypes
 
+import numpy as np
+import pyarrow as pa
 
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_hashes.__getitem__, words), dtype=np.uint64, count=len(words))
+_SPACE = np.zeros(256, dtype=bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: Masks of a little-endian 64-bit lane of which the first 0 to 8 bytes count.
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
+_ODD, _STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -37,7 +21,53 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def window_hashes(h: np.ndarray, n: int, seed: int = 0x9E3779B97F4A7C15) -> np.ndarray:
+def as_texts(texts) -> pa.Array:
+    return texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+
+
+class Words:
+    """The words of each text of an Arrow array: runs of anything but space, tab, line feed, vertical tab, form feed and
+    carriage return, as places in the texts' bytes. A null text has no words.
+
+    first, last: where each word starts and ends; at: for each text, its first word's index (one more at the end).
+    """
+
+    def __init__(self, texts):
+        texts = as_texts(texts)
+        texts = texts.fill_null("") if texts.null_count else texts
+        kind = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+        ends = np.frombuffer(texts.buffers()[1], dtype=kind, count=texts.offset + len(texts) + 1)[texts.offset :].astype(np.int64) if len(texts) else np.zeros(1, np.int64)
+        body = texts.buffers()[2] if len(texts) else None
+        size = int(ends[-1] - ends[0])
+        self.raw = np.zeros(size + 8, dtype=np.uint8)
+        if size:
+            self.raw[:size] = np.frombuffer(body, dtype=np.uint8, count=int(ends[-1]))[ends[0] :]
+        self.ends = ends - ends[0]
+        inside = ~_SPACE[self.raw[:size]]
+        starts, stops = inside.copy(), inside.copy()
+        starts[1:] &= ~inside[:-1]
+        stops[:-1] &= ~inside[1:]
+        full = self.ends[:-1] < self.ends[1:]
+        a, z = self.ends[:-1][full], self.ends[1:][full] - 1
+        starts[a], stops[z] = inside[a], inside[z]
+        self.first, self.last = np.flatnonzero(starts), np.flatnonzero(stops) + 1
+        self.at = np.searchsorted(self.first, self.ends)
+
+    def hashes(self) -> np.ndarray:
+        """64 bits for each word, from its bytes eight at a time."""
+        lanes = np.ndarray((len(self.raw) - 7,), dtype="<u8", buffer=self.raw, strides=(1,))
+        length = self.last - self.first
+        h = mix(length.astype(np.uint64) * _STEP)
+        h = mix(h ^ (lanes[self.first] & _FIRST[np.minimum(length, 8)]) * _ODD)
+        more, k = np.flatnonzero(length > 8), 8
+        while len(more):
+            left = length[more] - k
+            h[more] = mix((h[more] + _STEP) ^ (lanes[self.first[more] + k] & _FIRST[np.minimum(left, 8)]) * _ODD)
+            more, k = more[left > 8], k + 8
+        return h
+
+
+def window_hashes(h: np.ndarray, n: int, seed: int = int(_ODD)) -> np.ndarray:
     """A hash of each n consecutive word hashes, by doubling: windows of 2k from two of k."""
     if len(h) < n:
         return h[:0]
@@ -53,6 +83,8 @@ def window_hashes(h: np.ndarray, n: int, seed: int = 0x9E3779B97F4A7C15) -> np.n
         out = mix(out[:-have] * np.uint64(seed | 1) + out[have:])
         have *= 2
     size = len(h) - n + 1
+    if len(parts) == 1:
+        return parts[0][0][:size]
     total, at = np.zeros(size, dtype=np.uint64), 0
     for a, length in parts:
         total = mix(total * np.uint64(seed | 1) + a[at : at + size])
@@ -60,50 +92,28 @@ def window_hashes(h: np.ndarray, n: int, seed: int = 0x9E3779B97F4A7C15) -> np.n
     return total
 
 
-def _powers(base: int, n: int, _have: dict = {}) -> np.ndarray:  # noqa: B006  grown as needed, in each process
-    """1, base, base^2, ... modulo 2^64, n of them at least."""
-    if base not in _have or len(_have[base]) < n:
-        x = np.full(max(n, 4096), base, dtype=np.uint64)
-        x[0] = 1
-        _have[base] = np.multiply.accumulate(x)
-    return _have[base]
-
-
-class Stretches:
-    """Two hashes of any stretch of words, from running sums of the word hashes times powers of an odd number.
-
-    The inverse powers shift a stretch to the start, so equal stretches have equal hashes wherever they stand.
-    """
-
-    _BASES = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)
-
-    def __init__(self, h: np.ndarray):
-        n = len(h)
-        self.down = [_powers(pow(b, -1, 1 << 64), n + 1) for b in self._BASES]
-        self.total = [np.zeros(n + 1, dtype=np.uint64) for _ in self._BASES]
-        for words, base, total in zip((h, mix(h)), self._BASES, self.total):
-            np.add.accumulate(words * _powers(base, n + 1)[:n], out=total[1:])
-
-    def of(self, first: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Of each stretch h[first:first + length]."""
-        size = length.astype(np.uint64) * np.uint64(self._BASES[0])
-        return tuple((t[first + length] - t[first]) * d[first] + size for t, d in zip(self.total, self.down))
+def within(at: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of windows of n words over all texts' words together: the places of those inside one text, and how many each text has."""
+    count = np.maximum(np.diff(at) - n + 1, 0)
+    total = int(count.sum())
+    before = np.cumsum(count) - count
+    return np.repeat(at[:-1] - before, count) + np.arange(total), count
 
-    def windows(self, n: int, which: int = 0) -> np.ndarray:
-        """Of every window of n words."""
-        t = self.total[which]
-        return (t[n:] - t[:-n]) * self.down[which][: max(0, len(t) - n)]
 
-
-def leftmost_minima(g: np.ndarray, width: int) -> np.ndarray:
-    """The place of the smallest value, the leftmost of equals, in every window of `width` values; windows double until they reach it."""
-    value, place, have = g, np.arange(len(g)), 1
-    while have < width:
-        step = min(have, width - have)
-        right = value[step:] < value[:-step]
-        value, place, have = np.where(right, value[step:], value[:-step]), np.where(right, place[step:], place[:-step]), have + step
-    return place
+def ranges(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of True."""
+    edge = np.diff(np.concatenate([[0], flags.view(np.int8), [0]]))
+    return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
 
 
 def signed(x: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(x).view(np.int64)
+
+
+def give_back() -> None:
+    """Returns memory that a Python worker has freed to the system, so that an idle worker is a small one."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass

@@ -13,11 +13,14 @@ Ties: the segmentation that reaches a position first keeps it unless another sco
 longest piece reaches it first. A character that starts no one-character piece may stand alone at the
 lowest piece score less 10 and is then spelled in bytes. Scores are added as doubles.
 
-Defined cases: null text encodes to null and counts null; an empty text has no pieces; no text is too long.
+Defined cases: null text encodes to null and counts null; an empty text has no pieces; no text is too long. Rows that
+repeat have equal results, an empty table gives an empty one. All columns are kept, but one that has the name of an output
+(n_tokens, ids, decoded or the name asked for) is replaced.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import re
 from array import array
@@ -31,12 +34,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import slices
+from .text_arrays import give_back
 
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
 NONE = float("-inf")
 #: Stretches remembered by each Python worker, and the longest stretch that is remembered.
-MEMO_ENTRIES, MEMO_CHARS = 400_000, 64
+MEMO_ENTRIES, MEMO_CHARS = 300_000, 64
 
 
 @dataclass(frozen=True)
@@ -47,9 +51,10 @@ class Vocabulary:
     bytes_: tuple[int, ...]
     unk: int
 
-    @property
+    @functools.cached_property
     def key(self) -> str:
-        return hashlib.sha256(repr((len(self.pieces), self.pieces[:5], self.pieces[-5:], self.bytes_[:1], self.unk)).encode()).hexdigest()
+        """A digest of every piece, score and id."""
+        return hashlib.sha256(repr((self.pieces, self.bytes_, self.unk)).encode()).hexdigest()
 
     @staticmethod
     def read(model_path: str) -> "Vocabulary":
@@ -217,6 +222,7 @@ def token_count(spark: SparkSession, vocabulary: Vocabulary):
         for batch in texts:
             for text in slices(batch):
                 yield pa.array([s.count(x) for x in text.to_pylist()], pa.int64())
+        give_back()
 
     return count
 
@@ -231,6 +237,7 @@ def encoder(spark: SparkSession, vocabulary: Vocabulary):
         for batch in texts:
             for text in slices(batch):
                 yield _ids(s, text)
+        give_back()
 
     return encode
 
@@ -286,9 +293,11 @@ def encode_and_decode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text
             for text in slices(batch):
                 found = _ids(s, text)
                 yield pa.StructArray.from_arrays([found, _texts(s, found)], names=["ids", "back"])
+        give_back()
 
-    d = docs.withColumn("__coded", code.asNondeterministic()(F.col(text)))  # computed once, however often it is used
-    return d.withColumns({ids: F.col("__coded.ids"), back: F.col("__coded.back")}).drop("__coded")
+    # computed once, however often it is used; the nested name meets no column of docs
+    d = docs.select(F.struct("*").alias("row"), code.asNondeterministic()(F.col(text)).alias("coded"))
+    return d.select(*(F.col("row")[c].alias(c) for c in docs.columns if c not in (ids, back)), F.col("coded.ids").alias(ids), F.col("coded.back").alias(back))
 
 
 def normalised(text: Column) -> Column:

@@ -2,10 +2,13 @@
 
 import collections
 import hashlib
+import random
 import re
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from flowtide.llm import exact_dedup, line_dedup, ngram_join, substring_dedup
 
 WS = re.compile(r"[\x20\x09-\x0D]+")
@@ -19,10 +22,10 @@ def sha(text):
     return hashlib.sha256(text.encode()).hexdigest()
 
 
-@pytest.mark.parametrize("max_words", [1 << 20, 1])
-def test_exact_dedup(docs, texts, max_words):
+@pytest.mark.parametrize("words_a_row", [8, 1, 1e-9])
+def test_exact_dedup(docs, texts, words_a_row):
     """A filter of one word lets all rows through; the result is the same."""
-    got = by_id(exact_dedup.decide(docs, max_words=max_words).collect())
+    got = by_id(exact_dedup.decide(docs, words_a_row=words_a_row).collect())
     groups = collections.defaultdict(list)
     for i, t in enumerate(texts):
         groups[WS.sub(" ", t or "")].append(i)
@@ -39,34 +42,33 @@ def test_exact_dedup_odd_rows(odd, empty):
     assert exact_dedup.decide(empty).count() == 0
 
 
-def brute_chunks(text):
+def brute_chunks(text, min_chars):
+    """Lines without the repeats of runs, parted where the hash of a pair of neighbours is a local minimum."""
     lines = text.split("\n")
+    lines = [x for k, x in enumerate(lines) if k == 0 or x != lines[k - 1] or len(x) < min_chars]
     h = [int(hashlib.md5(x.encode()).hexdigest()[:7], 16) for x in lines]
-    chunks, at = [], 0
-    for i in range(len(lines)):
-        if i == len(lines) - 1 or (i and (h[i - 1] * 31 + h[i]) % line_dedup.DIVISOR == 0):
-            chunks.append(lines[at : i + 1])
-            at = i + 1
-    return chunks
+    q = [line_dedup.PRIME if a == b else (a * 31 + b) % line_dedup.PRIME for a, b in zip(h, h[1:])]
+    starts = [0] + [j + 1 for j in range(1, len(q) - 1) if q[j] < min(q[j - 1], q[j + 1])]
+    return [lines[a:b] for a, b in zip(starts, [*starts[1:], len(lines)])]
 
 
-def test_line_dedup(docs, texts):
-    got = by_id(line_dedup.dedup_lines(docs).collect())
+@pytest.mark.parametrize("min_chars", [1, 32])
+def test_line_dedup(docs, texts, min_chars):
+    got = by_id(line_dedup.dedup_lines(docs, min_chars=min_chars).collect())
     seen = set()
     for i, t in enumerate(texts):
         if t is None:
             assert got[i]["text"] is None and got[i].line_dedup.n_lines == 0
             continue
-        kept, gone = [], 0
-        for c in brute_chunks(t):
+        kept = []
+        for c in brute_chunks(t, min_chars):
             key = "\n".join(c)
-            if len(c) > 1 and len(key) - len(c) + 1 >= line_dedup.MIN_CHARS:
+            if len(c) > 1 and len(key) - len(c) + 1 >= min_chars:
                 if key in seen:
-                    gone += len(c)
                     continue
                 seen.add(key)
             kept += c
-        assert (got[i].line_dedup.n_lines, got[i].line_dedup.n_removed) == (t.count("\n") + 1, gone)
+        assert (got[i].line_dedup.n_lines, got[i].line_dedup.n_removed) == (t.count("\n") + 1, t.count("\n") + 1 - len(kept))
         assert got[i]["text"] == "\n".join(kept)
     assert any(r.line_dedup.n_removed for r in got.values())
     assert got[3]["n"] == "mine"
@@ -98,9 +100,14 @@ def brute_substring(rows, window=20):
     return out
 
 
-@pytest.mark.parametrize("window", [20, 7])
-def test_substring_dedup(docs, texts, window):
-    got = by_id(substring_dedup.remove(docs, window=window).collect())
+def test_levels():
+    assert substring_dedup.levels(20) == [5, 10, 20] and substring_dedup.levels(7) == [7] and substring_dedup.levels(40) == [5, 10, 20, 40] and substring_dedup.levels(12) == [6, 12]
+
+
+@pytest.mark.parametrize("window,bucket_bytes", [(20, 8 << 20), (20, 4000), (12, 500), (7, 100_000)])
+def test_substring_dedup(docs, texts, window, bucket_bytes):
+    """Also with hundreds of buckets, whose number no longer fits a byte."""
+    got = by_id(substring_dedup.remove(docs, window=window, bucket_bytes=bucket_bytes).collect())
     want = brute_substring(enumerate(texts), window)
     assert len(got) == len(texts)
     for i, w in want.items():
@@ -108,6 +115,15 @@ def test_substring_dedup(docs, texts, window):
         assert (s.n_words, s.n_removed, s.kept) == w, i
 
 
+def test_substring_dedup_finds_a_table_that_changes(docs):
+    with pytest.raises(Exception, match="not the same when it was read again"):
+        other = F.udf(lambda t: f"{t} {random.random()}").asNondeterministic()
+        shaky = docs.select("doc_id", other("text").alias("text"))
+        substring_dedup.remove(shaky).collect()
+    with pytest.raises(ValueError, match="integer"):
+        substring_dedup.remove(docs, doc_id="lang")
+
+
 def test_substring_dedup_odd_rows(odd, empty):
     assert substring_dedup.remove(empty).count() == 0
     got = substring_dedup.remove(odd).collect()
@@ -146,9 +162,10 @@ def brute_groups(texts, threshold=0.8):
     return {i: (find(r), r, len(v), links[r]) for r, v in reps.items() for i in v}
 
 
-@pytest.mark.parametrize("limit,block", [(64, 384), (2, 4)])
-def test_ngram_join(docs, texts, limit, block):
-    """Also with buckets split as far as they go, and searched block against block."""
+@pytest.mark.parametrize("limit,block,tokens", [(64, 384, 1 << 20), (2, 4, 1 << 20), (64, 384, 150)])
+def test_ngram_join(docs, texts, limit, block, tokens, monkeypatch):
+    """Also with buckets split as far as they go, and searched block against block, by rows and by size."""
+    monkeypatch.setattr(ngram_join, "BLOCK_TOKENS", tokens)
     got = by_id(ngram_join.join(docs, limit=limit, block=block).collect())
     want = brute_groups(texts)
     assert len(got) == len(texts)

@@ -1,6 +1,5 @@
 import random
 
-import pytest
 from pyspark.sql import functions as F
 
 from flowtide.llm import language
@@ -25,10 +24,18 @@ def test_letterless_texts_do_not_crowd_out_a_language(spark):
 
 
 def test_no_label_is_left_out(spark):
-    d = spark.createDataFrame([("ba ko", "xx"), ("ba ti", "xx"), ("eln", "yy"), ("qu", "zz"), ("12", "no letters")], "text string, lang string")
-    assert set(language.train(d, languages=3).dictionaries) == {"xx", "yy", "zz"}
-    with pytest.raises(ValueError, match="more than 2 labels"):
-        language.train(d, languages=2)
+    names = [f"l{k:03d}" for k in range(150)]
+    d = spark.createDataFrame([(" ".join(texts(l, ["ba", "ko", "ti"], 3)), l) for l in names] + [("12", "no letters")], "text string, lang string")
+    assert set(language.train(d).dictionaries) == set(names)
+    small = language.train(d, together=150 * 600).dictionaries
+    assert set(small) == set(names) and max(map(len, small.values())) == 600
+
+
+def test_only_letters_are_letters(spark):
+    assert language.letters("½ ² Ⅷ ① 12_%") == b"" and language.letters("a½B É ٣") == " a b é ".encode()
+    d = spark.createDataFrame([("½ ²", "xx"), ("ba ko", "xx"), ("eln orm ast gro", "yy")], "text string, lang string")
+    got = {r["text"]: r.language for r in language.identify(d, language.train(d)).collect()}
+    assert got["½ ²"].lang_pred == "und" and got["½ ²"].score == 0 and got["eln orm ast gro"].lang_pred == "yy"
 
 
 def test_shared_heads_do_not_fill_the_dictionaries(spark):

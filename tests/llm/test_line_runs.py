@@ -3,6 +3,7 @@
 import random
 
 import corpus_pipeline
+from pyspark.sql import functions as F
 from flowtide.llm import line_dedup
 
 A, B = "the one line that comes again and again", "some other line of more than the least length"
@@ -15,13 +16,13 @@ def clean(spark, texts):
 
 def test_runs_within_a_document(spark):
     got = clean(spark, ["\n".join(["first", *[A] * 9, "last"]), "\n".join([B, B, "x", B]), "s\ns\ns", None, ""])
-    assert got == {0: f"first\n{A}\nlast", 1: f"{B}\nx\n{B}", 2: "s\ns\ns", 3: None, 4: ""}
+    assert got == {0: f"first\n{A}\nlast", 1: f"{B}\nx\n{B}", 2: "s", 3: None, 4: ""}
 
 
 def test_runs_across_documents(spark):
-    long, short = [A] * 5, ["short line, 22 letters"] * 6
-    got = clean(spark, ["\n".join(["one", "two", *long, "three"]), "\n".join(["four", *[A] * 3, "five"]), "\n".join(short), "\n".join(short)])
-    assert got == {0: f"one\ntwo\n{A}\nthree", 1: f"four\n{A}\nfive", 2: "\n".join(short), 3: ""}
+    long, short = [A] * 5, ["ab", "c"]
+    got = clean(spark, ["\n".join(["one", "two", *long, "three"]), "\n".join(["four", *[A] * 3, "five"]), "\n".join(short), "\n".join(short), "\n\n", "\n\n"])
+    assert got == {0: f"one\ntwo\n{A}\nthree", 1: f"four\n{A}\nfive", 2: "ab\nc", 3: "", 4: "\n\n", 5: "\n\n"}  # short chunks go, empty ones have nothing to lose
 
 
 def test_copies_go_whole(spark):
@@ -37,7 +38,7 @@ def test_every_chunk_has_two_lines(spark):
     rng = random.Random(4)
     texts = ["\n".join(f"line {rng.randrange(6)}" for _ in range(n)) for n in range(1, 80)]
     d = spark.createDataFrame([(t,) for t in texts], "text string")
-    for r in line_dedup._marked(d, "text", line_dedup.DIVISOR, line_dedup.MIN_CHARS, True).collect():
+    for r in line_dedup._marked(d, F.col("text"), 32).collect():
         chunks = ["\n".join(x[1:] for x in c.split("\n")) for c in r["__ld_c"]]
         assert "\n".join(chunks) == r["text"] and (len(chunks) == 1 or all("\n" in c for c in chunks))
         assert not any(a.split("\n")[-1] == b.split("\n")[0] for a, b in zip(chunks, chunks[1:]))
