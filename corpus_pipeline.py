@@ -5,7 +5,7 @@ the shared folder and read again. All but the last return the columns of documen
 
 Defined cases are those of the operators: null and empty texts are rejected by language ID, as they have no
 language; rows that repeat doc_id and text stay or go together; columns of documents beyond the five are
-kept up to the last stage; empty tables give empty results.
+kept up to the last stage, but for names that begin with "__ld_" or "__mx_"; empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -13,9 +13,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowtide.llm import language, line_dedup, mixing, ngram_join, unigram
-from flowtide.llm.common import stash, table
-from flowtide.llm.queries import MODEL, mix_marginals
+from flowtide.llm import language, line_dedup, mixing, ngram_join, topics, unigram
+from flowtide.llm.common import scratch, stash, table
+from flowtide.llm.queries import MODEL, TOPICS, mix_marginals
 
 #: SQL has neither compressors nor automata, raking or sampled paths; the stages are tested against brute force.
 ORACLE_SQL = None
@@ -27,13 +27,14 @@ BUDGET = 0.9
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learns from the labelled documents, drops documents with no clear language, and sets lang."""
-    found = language.identify(docs, language.train(docs), margin=MARGIN, out="__language")
-    return found.where("not __language.rejected").withColumn("lang", F.col("__language.lang_pred")).drop("__language")
+    found = language.identify(docs.select(F.struct("*").alias("row")), language.train(docs), text="row.text", margin=MARGIN, out="found")
+    return found.where("not found.rejected").select(*(F.col("found.lang_pred").alias(c) if c == "lang" else F.col("row")[c].alias(c) for c in docs.columns))
 
 
 def line_chunks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes repeated chunks of lines, and repeats within runs of one line, out of the texts."""
-    return line_dedup.dedup_lines(docs, whole=True).withColumn("n_chars", F.length("text").cast("long")).drop("line_dedup")
+    d = line_dedup.dedup_lines(docs, out="__ld_out").withColumn("n_chars", F.length("text").cast("long"))
+    return d.select(*docs.columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,8 +43,12 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Samples documents towards the target mix."""
-    return mixing.mix(docs, mix_marginals(), BUDGET, out="__mix").where("__mix.kept").drop("__mix")
+    """Samples documents towards the target mix, by the tokens that the last stage will make of them."""
+    about = topics.assigner(docs, topics.learn(docs, topics=TOPICS))
+    tokens = unigram.token_count(spark, unigram.Vocabulary.read(MODEL))
+    d = docs.withColumn("__mx_about", about(F.col("text")))
+    d = mixing.mix(d, mix_marginals(F.col("__mx_about.topic")), BUDGET, tokens(F.col("text")), out="__mx_out", without=("__mx_about",))
+    return d.where("__mx_out.kept").select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,7 +61,9 @@ STAGES = [("language_id", language_id), ("line_dedup", line_chunks), ("ngram_joi
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each stage's own tables are removed once its result is written."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = stash(stage(spark, docs, sf_dir), name)
+        with scratch() as keep:
+            docs = keep(stash(stage(spark, docs, sf_dir), name))
     return docs
