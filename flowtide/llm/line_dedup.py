@@ -7,9 +7,9 @@ and as the choice depends on the neighbourhood alone, a passage that moved withi
 same chunks but for its edges. Of chunks of two lines or more that are the same byte for byte, the first stays (smallest doc_id,
 then earliest) and the others are removed. Hashes pick the candidates; grouping by the chunk's bytes decides.
 
-Lines keep a mark in front while they are together ("1" starts a chunk, "0" goes on with it), so that one split gives all chunks of
-a text in time that grows with its length. All texts are cut up once, for a table of slim rows (place and hash of each chunk); after
-that only texts with a repeated chunk are cut up again for its bytes, and only texts that change for their result.
+Chunks are kept as the places where they start and end among the lines, so no text is put together before it is needed. All
+texts are cut up once, for a table of slim rows (place and hash of each chunk); after that only texts with a repeated chunk are cut
+up again for its bytes, and only texts that change for their result.
 
 Defined cases: null text stays null and has no lines; an empty text has one empty line. Lines and chunks of fewer than `min_chars`
 characters stay: by default those that have no character at all. Rows that repeat both doc_id and text count as one document; a null
@@ -40,24 +40,30 @@ def _without_repeats(lines: Column, min_chars: int) -> Column:
     return F.array_compact(F.zip_with(lines, before, lambda x, y: F.when(y.isNull() | (x != y) | (F.length(x) < min_chars), x)))
 
 
-def _minima() -> Column:
-    """Marks of the lines after the second and before the last, by local minima: at most one end in two places, so chunks have two lines or more."""
-    sub = lambda at, less: F.slice(F.col("__ld_q"), at, F.greatest(F.size("__ld_q") - less, F.lit(0)))
-    beside = F.zip_with(sub(1, 2), sub(3, 2), lambda x, y: F.least(x, y))
-    return F.concat(F.zip_with(sub(2, 2), beside, lambda x, y: F.when(x < y, "1").otherwise("0")), F.array(F.lit("0")))
+def _pairs(a: Column, f) -> Column:
+    inner = F.greatest(F.size(a) - 1, F.lit(0))
+    return F.zip_with(F.slice(a, 1, inner), F.slice(a, 2, inner), f)
 
 
-def _marked(docs: DataFrame, text: Column, min_chars: int) -> DataFrame:
-    """Adds __ld_c, the marked chunks of a text (null for null), and __ld_m, the number of its lines."""
-    docs = docs.withColumn("__ld_l", F.split(text, "\n", -1)).withColumn("__ld_m", F.size("__ld_l"))
-    docs = docs.withColumn("__ld_l", _without_repeats(F.col("__ld_l"), min_chars)).withColumn("__ld_a", F.transform("__ld_l", _line_hash))
-    n = F.size("__ld_l")
-    inner = F.greatest(n - 1, F.lit(0))
-    pair = lambda a, b: F.when(a == b, PRIME).otherwise((a * 31 + b) % PRIME)
-    docs = docs.withColumn("__ld_q", F.zip_with(F.slice("__ld_a", 1, inner), F.slice("__ld_a", 2, inner), pair))
-    marks = F.concat(F.array(F.lit("1"), F.lit("0")), _minima())
-    lines = F.zip_with("__ld_l", F.slice(marks, 1, n), lambda line, mark: F.concat(mark, line))
-    return docs.withColumn("__ld_c", F.split(F.array_join(lines, "\n"), "\n(?=1)", -1)).withColumn("__ld_m", F.col("__ld_m") - n).drop("__ld_l", "__ld_a", "__ld_q")
+def _cut(docs: DataFrame, text: Column, min_chars: int) -> DataFrame:
+    """Adds __ld_l, a text's lines without repeats, __ld_a, their hashes, __ld_s and __ld_e, where its chunks start and end (from 1), and __ld_m, whether lines are gone; null for null."""
+    d = docs.withColumn("__ld_l", F.split(text, "\n", -1)).withColumn("__ld_a", F.transform("__ld_l", _line_hash))
+    d = d.withColumn("__ld_m", F.size("__ld_l")).withColumn("__ld_q", F.exists(_pairs(F.col("__ld_a"), lambda x, y: x == y), lambda x: x))
+    # most texts have no two equal neighbours and keep their arrays
+    d = d.withColumn("__ld_l", F.when(F.col("__ld_q"), _without_repeats(F.col("__ld_l"), min_chars)).otherwise(F.col("__ld_l")))
+    d = d.withColumn("__ld_a", F.when(F.col("__ld_q"), F.transform("__ld_l", _line_hash)).otherwise(F.col("__ld_a")))
+    d = d.withColumn("__ld_m", F.col("__ld_m") > F.size("__ld_l")).withColumn("__ld_q", _pairs(F.col("__ld_a"), lambda x, y: F.when(x == y, PRIME).otherwise((x * 31 + y) % PRIME)))
+    q = F.col("__ld_q")
+    least = F.filter(F.sequence(F.lit(2), F.size(q) - 1), lambda j: q[j - 1] < F.least(q[j - 2], q[j]))
+    d = d.withColumn("__ld_q", F.when(F.size(q) >= 3, least).when(q.isNotNull(), F.array().cast("array<int>")))
+    starts = F.concat(F.array(F.lit(1)), F.transform("__ld_q", lambda j: j + 1))
+    return d.withColumn("__ld_s", starts).withColumn("__ld_e", F.concat("__ld_q", F.array(F.size("__ld_l")))).drop("__ld_q")
+
+
+def _chunk(p: Column, of: str) -> Column:
+    """The lines (or their hashes) of chunk p."""
+    start = F.col("__ld_s")[p]
+    return F.slice(of, start, F.col("__ld_e")[p] - start + 1)
 
 
 def _n_lines(text: Column) -> Column:
@@ -70,34 +76,33 @@ _SAME = "d.i <=> x.i and d.h = x.h"
 def changes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
     """i (doc_id), h (hash of the text), gone (places of the chunks to remove), for documents that lose a chunk or a line of a run."""
     d = docs.select(F.col(doc_id).alias("i"), F.xxhash64(text).alias("h"), F.col(text).alias("t"))
-    cut = _marked(d, F.col("t"), min_chars).select("i", "h", "__ld_m", F.posexplode("__ld_c").alias("p", "chunk"))
-    full = F.col("chunk").contains("\n") & (F.length("chunk") - _n_lines(F.col("chunk")) - _n_lines(F.col("chunk")) + 1 >= min_chars)
+    place = F.sequence(F.lit(0), F.size("__ld_s") - 1)
+    chunks = F.transform(place, lambda p: F.struct(p.alias("p"), F.when(F.col("__ld_e")[p] > F.col("__ld_s")[p], F.xxhash64(_chunk(p, "__ld_a"))).alias("c")))
+    cut = _cut(d, F.col("t"), min_chars).where("t is not null").select("i", "h", F.col("__ld_m").alias("m"), F.inline(chunks))
     # chunks that can be compared, and one row for each text that has lost lines of a run
-    slim = stash(cut.where(full | ((F.col("__ld_m") > 0) & (F.col("p") == 0))).select("i", "h", "p", F.when(full, F.xxhash64("chunk")).alias("c"), (F.col("__ld_m") > 0).alias("m")), "chunks")
+    slim = stash(cut.where("c is not null or (m and p = 0)"), "chunks")
     repeated = stash(slim.where("c is not null").groupBy("c").agg(F.count("*").alias("n")).where("n > 1").select("c"), "repeated")
-    hit = slim.join(small(repeated), "c", "left_semi").groupBy("i", "h").agg(F.collect_set("p").alias("at"))
-    hit = stash(hit, "hit")
+    hit = stash(slim.join(small(repeated), "c", "left_semi").groupBy("i", "h").agg(F.collect_set("p").alias("at")), "hit")
     again = d.alias("d").join(small(hit, row_bytes=400).alias("x"), F.expr(_SAME)).select("d.i", "d.h", "d.t", "x.at")
-    again = _marked(again, F.col("t"), min_chars).select("i", "h", F.explode(F.transform("at", lambda p: F.struct(p.alias("p"), F.col("__ld_c")[p].alias("chunk")))).alias("x"))
-    candidates = stash(again.select("i", "h", "x.p", "x.chunk"), "candidates")
+    bytes_of = F.transform("at", lambda p: F.struct(p.alias("p"), F.array_join(_chunk(p, "__ld_l"), "\n").alias("chunk")))
+    again = _cut(again, F.col("t"), min_chars).select("i", "h", F.inline(bytes_of)).where(F.length("chunk") - _n_lines(F.col("chunk")) + 1 >= min_chars)
+    candidates = stash(again, "candidates")
     first = candidates.groupBy("chunk").agg(F.min(F.struct("i", "h", "p")).alias("f")).select("f.*")
     gone = candidates.select("i", "h", "p").alias("d").join(first.alias("x").hint("merge"), F.expr(_SAME + " and d.p = x.p"), "left_anti")
     both = gone.select("i", "h", "p").unionByName(slim.where("m").select("i", "h", F.lit(None).cast("int").alias("p")))
-    return stash(both.groupBy("i", "h").agg(F.sort_array(F.collect_set("p")).alias("gone")), "changes")
+    return stash(both.groupBy("i", "h").agg(F.collect_set("p").alias("gone")), "changes")
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS, out: str = "line_dedup") -> DataFrame:
     """docs with repeated chunks and the repeats of runs taken out of the text, and n_lines and n_removed (longs) added as the struct `out`."""
     gone = changes(docs, doc_id, text, min_chars).select(F.col("i").alias("__ld_i"), F.col("h").alias("__ld_k"), F.col("gone").alias("__ld_g"))
     d = docs.join(small(gone, row_bytes=400), F.col(doc_id).eqNullSafe(F.col("__ld_i")) & (F.xxhash64(text) == F.col("__ld_k")), "left")
-    d = _marked(d, F.when(F.col("__ld_g").isNotNull(), F.col(text)), min_chars)  # texts that stay as they are aren't cut up
-    d = d.withColumn("__ld_c", F.filter("__ld_c", lambda c, p: ~F.array_contains("__ld_g", p)))
-    left = F.aggregate(F.transform("__ld_c", _n_lines), F.lit(0), lambda a, x: a + x)
-    n = F.coalesce(_n_lines(F.col(text)), F.lit(0)).cast("long")
-    d = d.withColumn("__ld_n", n).withColumn("__ld_r", F.coalesce(F.col("__ld_n") - left, F.lit(0)).cast("long"))
-    cleaned = F.regexp_replace(F.array_join("__ld_c", "\n"), "(?dm)^[01]", "")
-    d = d.withColumn(text, F.when(F.col("__ld_g").isNull(), F.col(text)).otherwise(cleaned))
-    return d.withColumn(out, F.struct(F.col("__ld_n").alias("n_lines"), F.col("__ld_r").alias("n_removed"))).drop("__ld_n", "__ld_r", "__ld_c", "__ld_m", "__ld_i", "__ld_k", "__ld_g")
+    d = _cut(d, F.when(F.col("__ld_g").isNotNull(), F.col(text)), min_chars)  # texts that stay as they are aren't cut up
+    d = d.withColumn("__ld_p", F.filter(F.sequence(F.lit(0), F.size("__ld_s") - 1), lambda p: ~F.array_contains("__ld_g", p)))
+    d = d.withColumn("__ld_r", F.flatten(F.transform("__ld_p", lambda p: _chunk(p, "__ld_l")))).withColumn("__ld_n", F.coalesce(_n_lines(F.col(text)), F.lit(0)).cast("long"))
+    counts = F.struct(F.col("__ld_n").alias("n_lines"), F.when(F.col("__ld_g").isNull(), 0).otherwise(F.col("__ld_n") - F.size("__ld_r")).cast("long").alias("n_removed"))
+    d = d.withColumn(out, counts).withColumn(text, F.when(F.col("__ld_g").isNull(), F.col(text)).otherwise(F.array_join("__ld_r", "\n")))
+    return d.drop("__ld_n", "__ld_r", "__ld_l", "__ld_a", "__ld_s", "__ld_e", "__ld_m", "__ld_p", "__ld_i", "__ld_k", "__ld_g")
 
 
 ORACLE = f"""

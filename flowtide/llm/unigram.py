@@ -40,7 +40,7 @@ SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
 NONE = float("-inf")
 #: Stretches remembered by each Python worker, and the longest stretch that is remembered.
-MEMO_ENTRIES, MEMO_CHARS = 300_000, 64
+MEMO_ENTRIES, MEMO_CHARS = 200_000, 64
 
 
 @dataclass(frozen=True)
@@ -212,6 +212,12 @@ def scanner(vocabulary: Vocabulary) -> Scanner:
     return _scanners[vocabulary.key]
 
 
+def _rest() -> None:
+    """What a worker does at the end of a task: it lets go of automaton and memory, as it may stay idle beside those that need the room."""
+    _scanners.clear()
+    give_back()
+
+
 def token_count(spark: SparkSession, vocabulary: Vocabulary):
     """A Column function: text to its number of pieces (long)."""
     shared = spark.sparkContext.broadcast(vocabulary)
@@ -222,7 +228,7 @@ def token_count(spark: SparkSession, vocabulary: Vocabulary):
         for batch in texts:
             for text in slices(batch):
                 yield pa.array([s.count(x) for x in text.to_pylist()], pa.int64())
-        give_back()
+        _rest()
 
     return count
 
@@ -237,7 +243,7 @@ def encoder(spark: SparkSession, vocabulary: Vocabulary):
         for batch in texts:
             for text in slices(batch):
                 yield _ids(s, text)
-        give_back()
+        _rest()
 
     return encode
 
@@ -293,7 +299,7 @@ def encode_and_decode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text
             for text in slices(batch):
                 found = _ids(s, text)
                 yield pa.StructArray.from_arrays([found, _texts(s, found)], names=["ids", "back"])
-        give_back()
+        _rest()
 
     # computed once, however often it is used; the nested name meets no column of docs
     d = docs.select(F.struct("*").alias("row"), code.asNondeterministic()(F.col(text)).alias("coded"))

@@ -38,7 +38,7 @@ def test_every_chunk_has_two_lines(spark):
     rng = random.Random(4)
     texts = ["\n".join(f"line {rng.randrange(6)}" for _ in range(n)) for n in range(1, 80)]
     d = spark.createDataFrame([(t,) for t in texts], "text string")
-    for r in line_dedup._marked(d, F.col("text"), 32).collect():
-        chunks = ["\n".join(x[1:] for x in c.split("\n")) for c in r["__ld_c"]]
-        assert "\n".join(chunks) == r["text"] and (len(chunks) == 1 or all("\n" in c for c in chunks))
-        assert not any(a.split("\n")[-1] == b.split("\n")[0] for a, b in zip(chunks, chunks[1:]))
+    for r in line_dedup._cut(d, F.col("text"), 32).collect():
+        chunks = [r["__ld_l"][a - 1 : b] for a, b in zip(r["__ld_s"], r["__ld_e"])]
+        assert "\n".join("\n".join(c) for c in chunks) == r["text"] and (len(chunks) == 1 or all(len(c) > 1 for c in chunks))
+        assert not any(a[-1] == b[0] for a, b in zip(chunks, chunks[1:]))
