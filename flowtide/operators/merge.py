@@ -2,22 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def fold_touches(events: DataFrame, key: str = "key_json") -> DataFrame:
-    """key, xid of the last event (in stream order), and whether a complete image is among those since the key's last baseline.
+#: What a touched row goes by: the same key in another table is another row.
+ROW = ("table", "key_json")
 
-    Updates build on the image before them; any other event starts anew. So a key is complete if one event of its last
-    segment carries every column.
+
+def fold_touches(events: DataFrame) -> DataFrame:
+    """table, key_json, xid of the last event (in stream order), and whether a complete image is among those since the key's last baseline.
+
+    Updates build on the image before them; any other event starts anew. So a key is complete if its last whole image is no
+    older than its last event that is no update; both are maxima, combined before the shuffle.
     """
-    order = [F.col("commit_lsn"), F.col("seq")]
-    row = F.when(F.col("op") != "truncate", True)
-    segment = F.sum((F.col("op") != "update").cast("int")).over(Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
-    e = events.where(row).withColumn("__sg", segment)
-    by_segment = e.groupBy(key, "__sg").agg(F.max_by("xid", F.struct(*order)).alias("xid"), F.bool_or(~F.col("is_partial")).alias("complete"))
-    return by_segment.groupBy(key).agg(F.max(F.struct("__sg", "xid", "complete")).alias("s")).select(F.col(key), "s.xid", "s.complete")
+    at = F.struct("commit_lsn", "seq")
+    e = events.where("op <> 'truncate'")
+    one = e.groupBy(*ROW).agg(F.max_by("xid", at).alias("xid"), F.max(F.when(~F.col("is_partial"), at)).alias("whole"), F.max(F.when(F.col("op") != "update", at)).alias("base"))
+    return one.select(*ROW, "xid", F.coalesce((F.col("whole") >= F.col("base")) | (F.col("base").isNull() & F.col("whole").isNotNull()), F.lit(False)).alias("complete"))
+
+
+def tracked(events: DataFrame, tables: list[str]) -> DataFrame:
+    """Events of the tables that a backfill is tracking."""
+    return events.where(F.col("table").isin(tables))
 
 
 def last_truncate(events: DataFrame) -> DataFrame:
@@ -33,13 +40,25 @@ def verdict(xmin: Column, xid: Column, complete: Column, truncate_xid: Column) -
     )
 
 
-def judge_chunk(chunk: DataFrame, touches: DataFrame, truncates: DataFrame, xmin: int, key: str = "key_json", table: str = "table") -> DataFrame:
-    """chunk with verdict added. Truncates hold for whole tables, so they are joined by table, not by key."""
-    t = touches.select(F.col(key), F.col("xid").alias("__xid"), F.col("complete").alias("__complete"))
-    out = chunk.join(t, key, "left").join(truncates.select(F.col("table").alias(table), "truncate_xid"), table, "left")
+def judge_chunk(chunk: DataFrame, touches: DataFrame, truncates: DataFrame, xmin: int) -> DataFrame:
+    """chunk with verdict added, by its rows' table and key. Truncates hold for whole tables, so they are joined by table."""
+    t = touches.select(*ROW, F.col("xid").alias("__xid"), F.col("complete").alias("__complete"))
+    out = chunk.join(t, list(ROW), "left").join(truncates.select("table", "truncate_xid"), "table", "left")
     return out.withColumn("verdict", verdict(F.lit(xmin), F.col("__xid"), F.col("__complete"), F.col("truncate_xid"))).drop("__xid", "__complete", "truncate_xid")
 
 
+def own_markers(markers: DataFrame, prefix: str, nonce: str) -> DataFrame:
+    """Markers (lsn, transactional, prefix, content) of this session's backfill: kind, generation, number, lsn. Others, and what can't be read, are no concern of it."""
+    m = markers.where((F.col("prefix") == prefix) & ~F.col("transactional")).withColumn("m", F.from_json("content", "nonce string, kind string, generation long, number long"))
+    return m.where(F.col("m.nonce") == nonce).select("lsn", "m.kind", "m.generation", "m.number")
+
+
+def match_chunks(markers: DataFrame, chunks: DataFrame) -> DataFrame:
+    """Chunk rows with their marker's position; a chunk of another generation, or without a marker, waits."""
+    m = markers.where("kind = 'chunk'").select("generation", "number", F.col("lsn").alias("marker_lsn"))
+    return chunks.join(m, ["generation", "number"])
+
+
 def read_id(oid: Column, marker_lsn: Column, lsn_text) -> Column:
     return F.concat(oid.cast("string"), F.lit("."), lsn_text(marker_lsn))
 
@@ -52,3 +71,8 @@ def owed_moves(events: DataFrame) -> DataFrame:
 def prune(touches: DataFrame, xmin: int) -> DataFrame:
     """What later chunks can still need."""
     return touches.where(F.col("xid") >= xmin)
+
+
+def overflowed(touches: DataFrame, limit: int = 1 << 20) -> bool:
+    """Whether more keys are tracked than the guard allows; a backfill then starts tracking anew."""
+    return touches.limit(limit + 1).count() > limit

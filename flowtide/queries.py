@@ -342,13 +342,34 @@ def cdc_chunk_verdict(spark, sf_dir):
     return judged(spark, sf_dir).select("k", "chunk", "verdict")
 
 
-_VERDICTS = [(0, None, None, None), (1, 743, False, None), (2, 744, False, None), (3, 750, True, None), (4, 750, False, None), (5, None, None, 743), (6, None, None, 744), (7, 743, True, 900), (8, 2**33, False, 0)]
+_XMIN = 5120
+_VERDICTS = [(0, None, None, None), (1, 5119, False, None), (2, 5120, False, None), (3, 6001, True, None), (4, 6001, False, None), (5, None, None, 5119), (6, None, None, 5120), (7, 5119, True, 9000), (8, 2**33, False, 0)]
 
 
-@query("select id, case when coalesce(t, 0) >= 744 then 'drop' when x is null or x < 744 then 'emit' when c then 'drop' else 'retry' end as verdict from (values " + ", ".join(f"({a}, {'null' if b is None else b}::bigint, {'null' if c is None else c}::boolean, {'null' if d is None else d}::bigint)" for a, b, c, d in _VERDICTS) + ") v(id, x, c, t)")
+@query("select id, case when coalesce(t, 0) >= 5120 then 'drop' when x is null or x < 5120 then 'emit' when c then 'drop' else 'retry' end as verdict from (values " + ", ".join(f"({a}, {'null' if b is None else b}::bigint, {'null' if c is None else c}::boolean, {'null' if d is None else d}::bigint)" for a, b, c, d in _VERDICTS) + ") v(id, x, c, t)")
 def cdc_verdict_table(spark, sf_dir):
     d = spark.createDataFrame(_VERDICTS, "id long, x long, c boolean, t long")
-    return d.select("id", merge.verdict(F.lit(744), F.col("x"), F.col("c"), F.col("t")).alias("verdict"))
+    return d.select("id", merge.verdict(F.lit(_XMIN), F.col("x"), F.col("c"), F.col("t")).alias("verdict"))
+
+
+@query(_TOUCH + """, w as (select k, '{"o_orderkey":' || k || '}' as key_json, verdict from v)
+select 'public.orders' as "table", key_json, verdict from w union all select 'public.part', '{"o_orderkey":' || p_partkey || '}', 'emit' from part""")
+def cdc_tracker_two_tables(spark, sf_dir):
+    """Rows of two tables with the same keys: touches of orders say nothing of part."""
+    key = F.concat(F.lit('{"o_orderkey":'), F.col("p_partkey").cast("string"), F.lit("}"))
+    other = read(spark, sf_dir, "part").select(F.lit("public.part").alias("table"), key.alias("key_json"))
+    t = merge.tracked(tracked(spark, sf_dir), ["public.orders", "public.part"])
+    both = chunk(spark, sf_dir).select("table", "key_json").unionByName(other)
+    return merge.judge_chunk(both, merge.fold_touches(t), merge.last_truncate(t), log.SNAPSHOT_XMIN).select("table", "key_json", "verdict")
+
+
+_PRUNED = log.SNAPSHOT_XMIN + 5
+
+
+@query(_TOUCH + f"select {KEY} as key_json, xid, complete from f where xid >= {_PRUNED}")
+def cdc_tracker_prune(spark, sf_dir):
+    """What is left of the touches for a chunk with a later snapshot."""
+    return merge.prune(merge.fold_touches(tracked(spark, sf_dir)), _PRUNED).select("key_json", "xid", "complete")
 
 
 def reads(spark, sf_dir) -> DataFrame:
@@ -439,8 +460,7 @@ _EXPECTED = LOG + """, x as (select (case when k % 100 = 7 then k + 20000000 whe
 
 def _converged(spark, sf_dir) -> DataFrame:
     m = settle(merged(spark, sf_dir), "merged")
-    roots = consume.lineage(consume.moves(m), settle)
-    return consume.materialise(m, "key", *_columns(), roots=roots)
+    return consume.materialise(m, "key", *_columns(), moved=consume.moves(m), checkpoint=settle)
 
 
 @query(_EXPECTED + "select * from x")
@@ -449,6 +469,34 @@ def cdc_materialize_moves(spark, sf_dir):
     return _converged(spark, sf_dir)
 
 
+_REUSED = """with recursive o as (select o_orderkey as k, o_orderstatus as st, o_orderpriority as prio from orders where o_orderkey % 4 = 0)
+select key, st, prio from (
+  select k || '/a' as key, 'second' as st, prio from o where k % 8 = 0
+  union all select k || '/b', 'moved', prio from o where k % 8 = 0
+  union all select k || '/a', 'back', prio from o where k % 8 = 4)"""
+
+
+@query(_REUSED)
+def cdc_materialize_reused_keys(spark, sf_dir):
+    """Rows that leave their key for /b; then either another row takes /a, or the row comes back to it. The priority is sent once, at the start."""
+    k = F.col("o_orderkey")
+    o = read(spark, sf_dir, "orders").where(k % 4 == 0)
+    a, b, none = F.concat(k.cast("string"), F.lit("/a")), F.concat(k.cast("string"), F.lit("/b")), F.lit(None).cast("string")
+
+    def event(pos, op, origin, key, st, prio, seq=0):
+        return F.struct(F.lit(pos).cast("long").alias("pos_lsn"), F.lit(1).alias("is_stream"), F.lit(seq).cast("long").alias("seq"), F.lit(pos).cast("long").alias("commit_lsn"), (F.col("o_orderkey") * 10 + pos * 2 + seq).alias("id"), F.lit(op).alias("op"), F.lit(origin).cast("string").alias("origin"), key.alias("key"), st.alias("st"), prio.alias("prio"))
+
+    prio = F.col("o_orderpriority")
+    first = [event(1, "insert", None, a, F.lit("first"), prio), event(2, "delete", "update", a, none, none), event(2, "insert", "update", b, F.lit("moved"), none, 1)]
+    second, back = [event(3, "insert", None, a, F.lit("second"), prio)], [event(3, "delete", "update", b, none, none), event(3, "insert", "update", a, F.lit("back"), none, 1)]
+    e = o.select(k, F.inline(F.when(k % 8 == 0, F.array(*first, *second)).otherwise(F.array(*first, *back))))
+    # each row's events are transactions of their own
+    shift = F.col("o_orderkey") * 10
+    e = settle(e.withColumns({"pos_lsn": F.col("pos_lsn") + shift, "commit_lsn": F.col("commit_lsn") + shift}).drop("o_orderkey", "id"), "reused")
+    carried = F.col("op") != "delete"
+    return consume.materialise(e, "key", {"st": F.col("st"), "prio": F.col("prio")}, {"st": carried, "prio": carried & F.col("prio").isNotNull()}, moved=consume.moves(e), checkpoint=settle)
+
+
 @query("select 0::bigint as missing, 0::bigint as extra, (select count(*) from orders where not (o_orderkey % 11 = 5 and o_orderkey % 50 <> 7)) as n_rows")
 def cdc_convergence_diff(spark, sf_dir):
     k = F.col("k")
@@ -464,10 +512,8 @@ ln as (select a as root, b as key from mv where a not in (select b from mv) unio
 select root::varchar as root, e.key::varchar as key, op, commit_lsn, seq from e join (select root, key from ln union select root, root from ln) q on q.key = e.key""")
 def cdc_history(spark, sf_dir):
     """All events of rows whose key ever changed, under their first key."""
-    e = settle(typed(events(spark, sf_dir)).select("key", "op", "origin", "commit_lsn", "seq"), "events")
-    roots = consume.lineage(consume.moves(e), settle)
-    own = roots.select(F.col("root").alias("new_key"), "root").distinct()
-    return e.join(roots.unionByName(own).withColumnRenamed("new_key", "key"), "key").select("root", "key", "op", "commit_lsn", "seq")
+    e = settle(typed(events(spark, sf_dir)).select("key", "op", "origin", "commit_lsn", *consume.POSITION), "events")
+    return consume.history(e, "key", consume.moves(e), settle).select("root", "key", "op", "commit_lsn", "seq")
 
 
 @query("select (count(*) - count(*) filter (where o_orderkey // 100 = 3))::bigint as arrived, 300::bigint as first_missing from orders")
@@ -755,7 +801,7 @@ def cdc_stream_verdict(spark, sf_dir):
     try:
         c = log.orders_log(_orders_stream(spark, sf_dir), (2,))
         key = F.concat(F.lit('{"o_orderkey":'), F.col("new")[0]["value"], F.lit("}"))
-        e = c.select(key.alias("key_json"), "commit_lsn", F.col("lsn").alias("seq"), "op", "xid", F.exists("new", lambda x: x["kind"] == "u").alias("is_partial"))
+        e = c.select(F.lit("public.orders").alias("table"), key.alias("key_json"), "commit_lsn", F.col("lsn").alias("seq"), "op", "xid", F.exists("new", lambda x: x["kind"] == "u").alias("is_partial"))
         put = lambda b, n: b.write.mode("overwrite").parquet(f"{at}/out/n={n}")
         track(e).writeStream.outputMode("update").foreachBatch(put).option("checkpointLocation", f"{at}/c").trigger(availableNow=True).start().awaitTermination()
     finally:

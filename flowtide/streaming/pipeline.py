@@ -12,11 +12,16 @@ from pyspark.sql.streaming import StatefulProcessor
 from pyspark.sql.streaming.query import StreamingQuery
 
 from ..operators import consume, encode
-from ..plans.scratch import settle
+from ..plans.scratch import remove, settle
 from ..sources import pgoutput
 from .sinks import FATAL, delay
 
 
+def has(spark: SparkSession, at: str) -> bool:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(at)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
 def deliver(frames: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, ignore=None, tables: Iterable[str] | None = None, known: DataFrame | None = None, trigger: dict | None = None) -> StreamingQuery:
     """Frames of the change log to events to a sink. Each batch is whole transactions, so numbers and splits need no state.
 
@@ -27,8 +32,12 @@ def deliver(frames: DataFrame, sink: Callable[[DataFrame, int], None], checkpoin
     def each(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         new = pgoutput.relations(batch)
-        new.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-        every = spark.read.schema(new.schema).parquet(f"{path}/*")
+        described = new.collect()  # descriptions of tables, few in any batch
+        every = spark.createDataFrame(described, new.schema)
+        if described:
+            every.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        if has(spark, path):
+            every = spark.read.schema(new.schema).parquet(f"{path}/*")
         every = every if known is None else every.unionByName(known)
         e = encode.encode(pgoutput.changes(batch), every.dropDuplicates(["rel_oid", "valid_from_lsn"]), ignore, tables)
         sink(e.withColumns({"pos_lsn": F.col("commit_lsn"), "is_stream": F.lit(1)}), batch_id)
@@ -45,32 +54,39 @@ def first_arrivals(events: DataFrame, delay_threshold: str = "1 hour") -> DataFr
 class Materialiser:
     """The table that a stream amounts to, as a version for each batch: version n comes from n - 1 and batch n alone.
 
-    A replayed batch writes its own version again from the same input, so the result doesn't depend on failures.
+    A replayed batch writes its own version again from the same input, so the result doesn't depend on failures. Each key keeps the position
+    of its last event, deleted keys too, so an event that is delivered again in a later batch changes nothing. Only the last two versions stay.
     """
 
     def __init__(self, path: str, key: str, columns: dict, sent: dict):
         self.path, self.key, self.columns, self.sent = path, key, columns, sent
 
-    def version(self, spark: SparkSession, n: int) -> DataFrame:
+    def _state(self, spark: SparkSession, n: int) -> DataFrame:
         return spark.read.parquet(f"{self.path}/v={n}")
 
+    def version(self, spark: SparkSession, n: int) -> DataFrame:
+        return self._state(spark, n).where("not deleted").drop("at", "deleted")
+
     def write(self, batch: DataFrame, batch_id: int) -> None:
         spark, e = batch.sparkSession, batch
         if batch_id:
-            old = self.version(spark, batch_id - 1)
-            state = old.withColumns({"op": F.lit("read"), "origin": F.lit(None).cast("string"), "pos_lsn": F.lit(-1).cast("long"), "is_stream": F.lit(0), "seq": F.lit(0).cast("long")})
-            e = batch.unionByName(state, allowMissingColumns=True)
+            old = self._state(spark, batch_id - 1)
+            seen = old.select(F.col(self.key).alias("__k"), F.col("at").alias("__at"))
+            new = batch.join(seen, F.col(self.key) == F.col("__k"), "left").where(F.col("__at").isNull() | (F.struct(*consume.POSITION) > F.col("__at"))).drop("__k", "__at")
+            state = old.select(*(c for c in old.columns if c not in ("at", "deleted")), F.when(F.col("deleted"), "delete").otherwise("read").alias("op"), F.lit(None).cast("string").alias("origin"), "at.*")
+            e = settle(new.unionByName(state, allowMissingColumns=True), "batch")
         # what a state row holds was all sent
         sent = {c: s | (F.col("op") == "read") for c, s in self.sent.items()}
-        roots = consume.lineage(consume.moves(batch, self.key), settle)
-        out = consume.materialise(e, self.key, self.columns, sent, roots=roots)
+        out = consume.materialise(e, self.key, self.columns, sent, moved=consume.moves(e, self.key), checkpoint=settle, state=True)
         out.write.mode("overwrite").parquet(f"{self.path}/v={batch_id}")
+        if batch_id > 1:
+            remove(spark, f"{self.path}/v={batch_id - 2}")
 
 
 class TouchTracker(StatefulProcessor):
     """Per key: the last transaction that touched it, and whether an image since its last baseline is complete.
 
-    Input rows: key_json, commit_lsn, seq, op, xid, is_partial; each batch's rows of a key are put in order here.
+    Input rows: table, key_json, commit_lsn, seq, op, xid, is_partial; each batch's rows of a key are put in order here.
     """
 
     def init(self, handle) -> None:
@@ -83,7 +99,7 @@ class TouchTracker(StatefulProcessor):
             complete = not partial or (op == "update" and complete)
             xid = x
         self.state.update((int(xid), bool(complete)))
-        yield pd.DataFrame({"key_json": [key[0]], "xid": [int(xid)], "complete": [bool(complete)]})
+        yield pd.DataFrame({"table": [key[0]], "key_json": [key[1]], "xid": [int(xid)], "complete": [bool(complete)]})
 
     def close(self) -> None:
         pass
@@ -91,7 +107,7 @@ class TouchTracker(StatefulProcessor):
 
 def track(events: DataFrame) -> DataFrame:
     """A streaming table of touches; needs the RocksDB state store."""
-    return events.groupBy("key_json").transformWithStateInPandas(TouchTracker(), "key_json string, xid long, complete boolean", "update", "none")
+    return events.groupBy("table", "key_json").transformWithStateInPandas(TouchTracker(), "table string, key_json string, xid long, complete boolean", "update", "none")
 
 
 def supervise(start: Callable[[], StreamingQuery], least: float = 0.5, most: float = 30.0, progressed: Callable[[], object] | None = None, sleep=time.sleep, attempts: int | None = None) -> None:

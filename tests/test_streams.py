@@ -11,6 +11,7 @@ from flowtide.plans.scratch import settle
 from flowtide.sources import changelog
 from flowtide.sources import pgoutput as pg
 from flowtide.streaming import pipeline, sinks
+from flowtide.streaming.pipeline import Materialiser
 
 
 def transaction(xid, *messages):
@@ -121,14 +122,17 @@ def workload(seed):
             events.append(("delete", None, k, lsn, 1, 0, None, None, None, False))
         elif kind < 0.82 and keys:
             k, fresh = rng.choice(keys), fresh + 1
-            table[str(fresh)] = table.pop(k)
-            table[str(fresh)][1] = str(n)
+            free = [x for x in map(str, range(1, fresh + 1)) if x not in table]  # keys that were used before, too
+            to = rng.choice(free)
+            table[to] = table.pop(k)
+            table[to][1] = str(n)
             events.append(("delete", "update", k, lsn, 1, 0, None, None, None, False))
-            events.append(("insert", "update", str(fresh), lsn, 1, 1, *table[str(fresh)][:2], None, False))
+            events.append(("insert", "update", to, lsn, 1, 1, *table[to][:2], None, False))
         else:
             fresh += 1
-            table[str(fresh)] = [str(n), "new", f"b{n}"]
-            events.append(("insert", None, str(fresh), lsn, 1, 0, *table[str(fresh)], True))
+            to = rng.choice([x for x in map(str, range(1, fresh + 1)) if x not in table])
+            table[to] = [str(n), "new", f"b{n}"]
+            events.append(("insert", None, to, lsn, 1, 0, *table[to], True))
     return table, [e for e in events if e[3] > snap_at] + reads, events
 
 
@@ -144,7 +148,7 @@ def test_convergence(spark, seed):
     e = settle(consume.dedupe(e))
     columns = {c: F.col(c) for c in ("a", "b", "bio")}
     sent = {"a": F.col("op") != "delete", "b": F.col("op") != "delete", "bio": F.col("has_bio")}
-    got = consume.materialise(e, "key", columns, sent, roots=consume.lineage(consume.moves(e), settle))
+    got = consume.materialise(e, "key", columns, sent, moved=consume.moves(e), checkpoint=settle)
     assert {r.key: [r.a, r.b, r.bio] for r in got.collect()} == table
 
 
@@ -155,7 +159,42 @@ def test_truncate_ends_all_before_it(spark):
     assert {r.key for r in got.collect()} == {"2", "3"}
 
 
-def test_lineage_of_long_chains(spark):
-    moved = spark.createDataFrame([(str(i), str(i + 1)) for i in range(200)], "old_key string, new_key string")
-    got = consume.lineage(moved, settle).collect()
-    assert len(got) == 200 and {r.root for r in got} == {"0"}
+def change(op, origin, key, lsn, seq=0, a=None, b=None):
+    return op, origin, key, lsn, 1, seq, lsn, a, b
+
+
+CHANGE = "op string, origin string, key string, pos_lsn long, is_stream int, seq long, commit_lsn long, a string, b string"
+AB = {"a": F.col("a"), "b": F.col("b")}, {"a": F.col("a").isNotNull(), "b": F.col("b").isNotNull()}
+
+
+def move(old, new, lsn, a=None, b=None):
+    return [change("delete", "update", old, lsn), change("insert", "update", new, lsn, 1, a, b)]
+
+
+def test_long_chains_and_keys_that_come_back(spark):
+    """A row that moves 60 times, between three keys at last, while others take the keys it left."""
+    rows = [change("insert", None, "0", 1, 0, "a0", "b0")]
+    for i in range(40):
+        rows += move(str(i), str(i + 1), 10 + i)
+    rows += [change("insert", None, "0", 100, 0, "other", "one")]
+    for i in range(21):
+        rows += move(("40", "x", "y")[i % 3], ("x", "y", "40")[i % 3], 200 + i)
+    e = spark.createDataFrame(rows, CHANGE)
+    got = {r.key: (r.a, r.b) for r in consume.materialise(e, "key", *AB, moved=consume.moves(e), checkpoint=settle).collect()}
+    assert got == {"40": ("a0", "b0"), "0": ("other", "one")}
+    roots = consume.ancestry(e, consume.moves(e), checkpoint=settle).collect()
+    assert len(roots) == 61 and {r.root for r in roots} == {"0"}
+    h = consume.history(e, "key", consume.moves(e), settle).collect()
+    assert len(h) == len(rows) - 1 and {r.root for r in h} == {"0"}
+
+
+def test_state_ignores_what_it_has_seen(spark, tmp_path):
+    """Events that come again in a later batch, and events of deleted and moved keys."""
+    m = Materialiser(str(tmp_path / "state"), "key", *AB)
+    first = [change("insert", None, "1", 1, 0, "a", "b"), change("insert", None, "2", 2, 0, "c", "d"), change("insert", None, "3", 3, 0, "e", "f")]
+    second = [change("update", None, "1", 4, 0, "new"), change("delete", None, "2", 5), *move("3", "4", 6, "g")]
+    for n, batch in enumerate([first, second, first + second, [*move("4", "3", 7), change("insert", None, "4", 8, 0, "h", "i")]]):
+        m.write(spark.createDataFrame(batch, CHANGE), n)
+    assert {r.key: (r.a, r.b) for r in m.version(spark, 2).collect()} == {"1": ("new", "b"), "4": ("g", "f")}
+    assert {r.key: (r.a, r.b) for r in m.version(spark, 3).collect()} == {"1": ("new", "b"), "3": ("g", "f"), "4": ("h", "i")}
+    assert not (tmp_path / "state/v=0").exists()

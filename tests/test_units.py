@@ -109,13 +109,13 @@ def test_touches_by_brute_force(spark):
 
 
 def test_chunk_merge_scenario(spark):
-    touches = spark.createDataFrame([("1", 744, True), ("2", 750, False), ("4", 743, True)], "key_json string, xid long, complete boolean")
+    touches = spark.createDataFrame([("t", "1", 900, True), ("t", "2", 911, False), ("t", "4", 899, True), ("u", "3", 999, True)], "table string, key_json string, xid long, complete boolean")
     chunk = spark.createDataFrame([(str(i), "t") for i in range(1, 5)], "key_json string, table string")
     none = spark.createDataFrame([], "table string, truncate_xid long")
-    run = lambda t: {r.key_json: r.verdict for r in merge.judge_chunk(chunk, touches, t, 744).collect()}
+    run = lambda t: {r.key_json: r.verdict for r in merge.judge_chunk(chunk, touches, t, 900).collect()}
     assert run(none) == {"1": "drop", "2": "retry", "3": "emit", "4": "emit"}
-    assert set(run(spark.createDataFrame([("t", 744)], "table string, truncate_xid long")).values()) == {"drop"}
-    assert run(spark.createDataFrame([("other", 744)], "table string, truncate_xid long"))["3"] == "emit"
+    assert set(run(spark.createDataFrame([("t", 900)], "table string, truncate_xid long")).values()) == {"drop"}
+    assert run(spark.createDataFrame([("other", 900)], "table string, truncate_xid long"))["3"] == "emit"
 
 
 def test_refusals(spark):
