@@ -21,12 +21,22 @@ from flowtide.llm.queries import MODEL, TOPICS, mix_marginals
 ORACLE_SQL = None
 #: Only texts about as well compressed by two languages are rejected.
 MARGIN = 0.002
+#: Rows that Spark hands to a Python worker at once, for texts of some kilobytes: with the default of 10,000 the copies of a batch on both sides fill hundreds of megabytes.
+ARROW_ROWS = 1000
 #: Share of the tokens that the mix keeps.
 BUDGET = 0.9
 
 
+def _small_batches(spark: SparkSession) -> None:
+    """Bounds Arrow batches for this session's queries from here on; a smaller bound stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= ARROW_ROWS:
+        spark.conf.set(name, ARROW_ROWS)
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learns from the labelled documents, drops documents with no clear language, and sets lang."""
+    _small_batches(spark)
     found = language.identify(docs.select(F.struct("*").alias("row")), language.train(docs), text="row.text", margin=MARGIN, out="found")
     return found.where("not found.rejected").select(*(F.col("found.lang_pred").alias(c) if c == "lang" else F.col("row")[c].alias(c) for c in docs.columns))
 
@@ -39,11 +49,13 @@ def line_chunks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near copies."""
+    _small_batches(spark)
     return ngram_join.drop_near_copies(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Samples documents towards the target mix, by the tokens that the last stage will make of them."""
+    _small_batches(spark)
     about = topics.assigner(docs, topics.learn(docs, topics=TOPICS))
     tokens = unigram.token_count(spark, unigram.Vocabulary.read(MODEL))
     d = docs.withColumn("__mx_about", about(F.col("text")))
@@ -53,6 +65,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, ids, n_ids, round_trip."""
+    _small_batches(spark)
     d = unigram.encode_and_decode(docs.select("doc_id", "lang", "source", "text"), unigram.Vocabulary.read(MODEL))
     return d.select("doc_id", "lang", "source", "ids", F.size("ids").cast("long").alias("n_ids"), (F.col("decoded") == unigram.normalised(F.col("text"))).alias("round_trip"))
 
