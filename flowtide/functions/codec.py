@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..schema import BOOL, FLOATS, INTEGERS, JSON, JSONB
+from ..schema import BOOL, FLOATS, INTEGERS, JSON, JSONB, NUMERIC
 
 EPOCH = 1 << 32
 
@@ -47,6 +47,33 @@ def json_quote(text: Column) -> Column:
     return F.concat(F.lit('"'), F.when(rare, each).otherwise(out), F.lit('"'))
 
 
+def quoted(text: str) -> str:
+    """The same for a name that is known when a plan is made."""
+    return '"' + "".join((COMMON | RARE).get(c, c) for c in text) + '"'
+
+
+#: What needs a look before it is quoted.
+SPECIAL = r'["\\\x00-\x1f\x85\x{2028}\x{2029}]'
+
+
+def typed_json(oid: int, value: Column) -> Column:
+    """value_json for a type that is known when a plan is made."""
+    plain = F.concat(F.lit('"'), value, F.lit('"'))
+    if oid == BOOL:
+        out = F.when(value == "t", "true").otherwise("false")
+    elif oid in FLOATS:
+        out = F.when(value.isin("NaN", "Infinity", "-Infinity"), plain).otherwise(value)
+    elif oid in (*INTEGERS, JSONB):
+        out = value
+    elif oid == JSON:
+        out = single_line(value)
+    elif oid == NUMERIC:
+        out = plain  # digits, or a word of letters
+    else:
+        out = F.when(value.rlike(SPECIAL), json_quote(value)).otherwise(plain)
+    return F.when(value.isNull(), "null").otherwise(out)
+
+
 def single_line(json: Column) -> Column:
     return F.translate(json, "\r\n", "")
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from ..functions import codec
@@ -22,7 +22,7 @@ def with_relation(changes: DataFrame, relations: DataFrame) -> DataFrame:
     one = changes.select("*", F.posexplode("rel_oids").alias("half", "rel_oid")).drop("rel_oids")
     c, v = one.alias("c"), versions.alias("v")
     at = (F.col("c.rel_oid") == F.col("v.rel_oid")) & (F.col("c.lsn") >= F.col("v.valid_from_lsn")) & (F.col("v.valid_to_lsn").isNull() | (F.col("c.lsn") < F.col("v.valid_to_lsn")))
-    return c.join(v, at, "left").select("c.*", "v.schema_name", "v.table_name", "v.columns", "v.keyed")
+    return c.join(v, at, "left").select("c.*", "v.valid_from_lsn", "v.schema_name", "v.table_name", "v.columns", "v.keyed")
 
 
 def unknown_relations(changes: DataFrame, relations: DataFrame) -> DataFrame:
@@ -42,17 +42,39 @@ def published(changes: DataFrame, tables: Iterable[str] | None) -> DataFrame:
     if tables is None:
         return changes
     names = [t if "." in t else f"public.{t}" for t in tables]
-    return changes.where(F.concat("schema_name", F.lit("."), "table_name").isin(names))
+    return changes.where(F.concat("schema_name", F.lit("."), "table_name").isin(names))  # reads the name, so an unknown relation raises first
 
 
-def key_changed() -> Column:
+#: Relations with expressions of their own; beyond that, cells are walked by lambdas.
+FEW = 40
+
+
+def by_relation(known: list[Row], one, other: Column) -> Column:
+    """one(relation) where a change has that relation version, else `other`."""
+    out = other
+    for r in known:
+        out = F.when((F.col("rel_oid") == r.rel_oid) & (F.col("valid_from_lsn") == r.valid_from_lsn), one(r)).otherwise(out)
+    return out
+
+
+def key_changed(known: list[Row] | None = None) -> Column:
     """An update whose old key was sent and differs in a key column, byte for byte."""
     pairs = F.zip_with("columns", F.zip_with("old", "new", lambda a, b: F.struct(a.alias("a"), b.alias("b"))), lambda c, p: F.struct(c.alias("c"), p.alias("p")))
     differs = F.exists(pairs, lambda x: x["c"]["is_key"] & (x["p"]["b"]["kind"] == "t") & ~x["p"]["a"]["value"].eqNullSafe(x["p"]["b"]["value"]))
-    return F.coalesce((F.col("op") == "update") & F.col("keyed") & (F.col("old_kind") == "K") & differs, F.lit(False))
 
+    def one(r: Row) -> Column:
+        out = F.lit(False)
+        for i, c in enumerate(r["columns"]):
+            if c.is_key:
+                a, b = F.get("old", F.lit(i)), F.get("new", F.lit(i))
+                out = out | ((b["kind"] == "t") & ~a["value"].eqNullSafe(b["value"]))
+        return out
 
-def split_key_changes(changes: DataFrame) -> DataFrame:
+    moved = (F.col("op") == "update") & F.col("keyed") & (F.col("old_kind") == "K")
+    return F.coalesce(F.when(moved, by_relation(known, one, F.lit(False)) if known else differs), F.lit(False))
+
+
+def split_key_changes(changes: DataFrame, known: list[Row] | None = None) -> DataFrame:
     """An update that changes the key becomes a delete under the old key and an insert under the new one."""
     none = F.lit(None).cast("array<struct<kind:string,value:string>>")
 
@@ -62,7 +84,7 @@ def split_key_changes(changes: DataFrame) -> DataFrame:
     both = F.array(half(F.lit(0), F.lit("delete"), "update", F.col("old"), none, none), half(F.lit(1), F.lit("insert"), "update", none, F.col("new"), F.col("old")))
     same = F.array(half(F.col("half"), F.col("op"), None, F.col("old"), F.col("new"), F.col("old")))
     rest = [c for c in changes.columns if c not in ("half", "op", "old", "new")]
-    return changes.select(*rest, F.inline(F.when(key_changed(), both).otherwise(same)))
+    return changes.select(*rest, F.inline(F.when(key_changed(known), both).otherwise(same)))
 
 
 def number(events: DataFrame) -> DataFrame:
@@ -76,21 +98,73 @@ def _width_checked(cells: Column) -> Column:
     return F.when(cells.isNull() | (F.size(cells) == F.size("columns")), cells).otherwise(wrong)
 
 
-def render(events: DataFrame) -> DataFrame:
-    """Adds table, unchanged, is_partial, key_json, old_json, new_json and value_json, the event as one line of JSON."""
-    table = F.concat("schema_name", F.lit("."), "table_name")
+def _generic() -> dict[str, Column]:
+    """unsent names, key, old and new image of any relation, by lambdas over its columns."""
     columns, key_only = F.col("columns"), F.col("old_kind") == "K"
     unsent = lambda cells: F.transform(F.filter(F.zip_with(columns, cells, lambda c, v: F.struct(c["name"].alias("n"), v["kind"].alias("k"))), lambda p: p["k"] == "u"), lambda p: p["n"])
     empty = F.array().cast("array<string>")
     identity = F.coalesce("new", "old")
+    return {
+        "unchanged": F.concat(F.coalesce(F.when(key_only, empty).otherwise(unsent(F.col("old"))), empty), F.coalesce(unsent(F.col("new")), empty)),
+        "key_json": codec.key_json(columns, identity, F.when(F.col("new").isNotNull(), F.col("previous"))),
+        "old_json": codec.json_object(columns, F.col("old"), lambda c: ~F.coalesce(key_only, F.lit(False)) | c["is_key"]),
+        "new_json": codec.json_object(columns, F.col("new")),
+    }
+
+
+def _straight(r: Row) -> dict[str, Column]:
+    """The same for one relation, cell by cell, which Spark compiles."""
+    key_only = F.coalesce(F.col("old_kind") == "K", F.lit(False))
+    cells = lambda of: [(c, F.get(of, F.lit(i))) for i, c in enumerate(r["columns"])]
+    none = F.lit("")
+
+    def unsent(of: str) -> Column:
+        return F.array_remove(F.array(*(F.when(v["kind"] == "u", F.lit(c.name)).otherwise(none) for c, v in cells(of))), "")
+
+    def image(of: str, only_keys: Column | None = None) -> Column:
+        parts = []
+        for c, v in cells(of):
+            there = v["kind"] != "u"
+            if only_keys is not None and not c.is_key:
+                there = there & ~only_keys
+            parts.append(F.when(there, F.concat(F.lit(codec.quoted(c.name) + ":"), codec.typed_json(c.oid, v["value"]))))
+        return F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
+
+    def key() -> Column:
+        parts = []
+        for i, c in enumerate(r["columns"]):
+            if c.is_key:
+                new, old, before = (F.get(x, F.lit(i)) for x in ("new", "old", "previous"))
+                v = F.when(F.col("new").isNull(), F.when(old["kind"] == "t", old["value"])).when(new["kind"] == "t", new["value"]).when(before["kind"] == "t", before["value"])
+                missing = F.raise_error(F.lit("a key column has no value in the change")).cast("string")
+                parts.append(F.concat(F.lit(codec.quoted(c.name) + ":"), F.when(v.isNull(), missing).otherwise(codec.typed_json(c.oid, v))))
+        return F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
+
+    empty = F.array().cast("array<string>")
+    return {
+        "unchanged": F.concat(F.when(key_only | F.col("old").isNull(), empty).otherwise(unsent("old")), F.when(F.col("new").isNull(), empty).otherwise(unsent("new"))),
+        "key_json": key(), "old_json": image("old", key_only), "new_json": image("new"),
+    }
+
+
+def render(events: DataFrame, known: list[Row] | None = None) -> DataFrame:
+    """Adds table, unchanged, is_partial, key_json, old_json, new_json and value_json, the event as one line of JSON.
+
+    known: the relation versions, whose expressions then are straight lines over their own cells.
+    """
+    table = F.concat("schema_name", F.lit("."), "table_name")
+    identity = F.coalesce("new", "old")
     e = events.withColumn("old", _width_checked(F.col("old"))).withColumn("new", _width_checked(F.col("new")))
-    old_json = codec.json_object(columns, F.col("old"), lambda c: ~F.coalesce(key_only, F.lit(False)) | c["is_key"])
+    if known:
+        each = [(r, _straight(r)) for r in known]
+        pick = lambda name: by_relation(known, lambda r: next(x[name] for s, x in each if s is r), F.lit(None))
+        made = {name: pick(name) for name in ("unchanged", "key_json", "old_json", "new_json")}
+    else:
+        made = _generic()
     e = e.withColumns({
-        "table": table,
-        "unchanged": F.concat(F.coalesce(F.when(key_only, empty).otherwise(unsent(F.col("old"))), empty), F.coalesce(unsent(F.col("new")), empty)),
-        "key_json": F.when(F.col("keyed") & identity.isNotNull(), codec.key_json(columns, identity, F.when(F.col("new").isNotNull(), F.col("previous")))).otherwise(codec.json_quote(table)),
-        "old_json": F.when(F.col("old").isNotNull(), old_json),
-        "new_json": F.when(F.col("new").isNotNull(), codec.json_object(columns, F.col("new"))),
+        "table": table, "unchanged": made["unchanged"],
+        "key_json": F.when(F.col("keyed") & identity.isNotNull(), made["key_json"]).otherwise(codec.json_quote(table)),
+        "old_json": F.when(F.col("old").isNotNull(), made["old_json"]), "new_json": F.when(F.col("new").isNotNull(), made["new_json"]),
     })
     part = lambda name, value: F.coalesce(F.concat(F.lit(f',"{name}":'), value), F.lit(""))
     names = F.when(F.size("unchanged") > 0, F.concat(F.lit("["), F.array_join(F.transform("unchanged", codec.json_quote), ","), F.lit("]")))
@@ -102,14 +176,35 @@ def render(events: DataFrame) -> DataFrame:
     return e.withColumn("value_json", value).withColumn("is_partial", F.size("unchanged") > 0)
 
 
+def render_reads(rows: DataFrame, relation: Row, lsn: Column, backfill: Column, seq: Column, ts: Column) -> DataFrame:
+    """Rows of a chunk (each of the relation's columns in text form, null for null) as read events: adds table, op, key_json, new_json, value_json.
+
+    A read has a backfill id in place of a commit position and transaction, as its marker's position may equal the next commit's.
+    """
+    table = f"{relation.schema_name}.{relation.table_name}"
+    text = lambda c: F.concat(F.lit(codec.quoted(c.name) + ":"), codec.typed_json(c.oid, F.col(f"`{c.name}`").cast("string")))
+    missing = F.raise_error(F.lit("a key column has no value in the row")).cast("string")
+    keys = [F.when(F.col(f"`{c.name}`").isNull(), missing).otherwise(text(c)) for c in relation["columns"] if c.is_key]
+    new = F.concat(F.lit("{"), F.concat_ws(",", *(text(c) for c in relation["columns"])), F.lit("}"))
+    key = F.concat(F.lit("{"), F.concat_ws(",", *keys), F.lit("}")) if keys and relation.replica_identity != "f" else F.lit(codec.quoted(table))
+    value = F.concat(
+        F.lit('{"table":' + codec.quoted(table) + ',"op":"read","lsn":"'), codec.lsn_text(lsn), F.lit('","backfill":'), codec.json_quote(backfill), F.lit(',"seq":'), seq.cast("string"),
+        F.lit(',"ts":"'), codec.rfc3339(ts), F.lit('","new":'), F.col("new_json"), F.lit("}"),
+    )
+    return rows.withColumns({"table": F.lit(table), "op": F.lit("read"), "key_json": key, "new_json": new}).withColumn("value_json", value)
+
+
 def encode(changes: DataFrame, relations: DataFrame, ignore: tuple[str, Iterable[str]] | None = None, tables: Iterable[str] | None = None) -> DataFrame:
-    """Raw changes to numbered, rendered events."""
-    c = published(with_relation(changes, relations), tables)
-    if ignore:
-        c = ignore_tables(c, *ignore)
+    """Raw changes to numbered, rendered events. A change of a relation that was never described is an error, whatever is published."""
+    known = relations.limit(FEW + 1).collect()
+    known = known if len(known) <= FEW else None
+    c = with_relation(changes, relations)
     unknown = F.raise_error(F.concat(F.lit("unknown relation id "), F.col("rel_oid").cast("string"))).cast("string")
     c = c.withColumn("table_name", F.when(F.col("table_name").isNull(), unknown).otherwise(F.col("table_name")))
-    return render(number(split_key_changes(c)))
+    c = published(c, tables)
+    if ignore:
+        c = ignore_tables(c, *ignore)
+    return render(number(split_key_changes(c, known)), known)
 
 
 def cell(cells: str, index: int) -> Column:

@@ -394,6 +394,15 @@ def cdc_read_events(spark, sf_dir):
     return reads(spark, sf_dir)
 
 
+@query(_READS + f"""select key_json, '{{"table":"public.orders","op":"read","lsn":"' || {lsn("pos_lsn")} || '","backfill":"' || backfill || '","seq":' || seq || ',"ts":"2026-09-20T10:00:00.5Z","new":{{"o_orderkey":' || key || ',"o_orderstatus":"' || st || '","o_totalprice":"' || pr || '","o_orderpriority":' || coalesce('"' || prio || '"', 'null') || '}}}}' as value_json from reads""")
+def cdc_read_json(spark, sf_dir):
+    """Read events as lines of JSON."""
+    relation = log.relations(spark).where(F.col("rel_oid") == log.ORDERS).first()
+    r = reads(spark, sf_dir).drop("key_json").select("backfill", "seq", "pos_lsn", F.col("key").alias("o_orderkey"), F.col("st").alias("o_orderstatus"), F.col("pr").alias("o_totalprice"), F.col("prio").alias("o_orderpriority"))
+    at = F.lit("2026-09-20 10:00:00.5").cast("timestamp")
+    return encode.render_reads(r, relation, F.col("pos_lsn"), F.col("backfill"), F.col("seq"), at).select("key_json", "value_json")
+
+
 def typed(e: DataFrame) -> DataFrame:
     """Events of orders with their columns by name, and positions."""
     return e.select(
