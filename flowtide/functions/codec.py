@@ -36,15 +36,15 @@ RARE = {chr(c): f"\\u{c:04x}" for c in [*range(0x20), 0x85, 0x2028, 0x2029] if c
 def json_quote(text: Column) -> Column:
     """A JSON string on one line: controls and the three Unicode line separators are escaped, all else is as it is.
 
-    Rare characters are looked up one by one, and only in texts that have any, which keeps plans small.
+    Rare characters are looked at one by one, and only in texts that have any, which keeps plans small.
     """
     out = text
     for c, e in COMMON.items():
         out = F.replace(out, F.lit(c), F.lit(e))
-    table = F.create_map(*(F.lit(x) for pair in RARE.items() for x in pair))
-    each = F.array_join(F.transform(F.split(out, ""), lambda c: F.coalesce(F.try_element_at(table, c), c)), "")
-    rare = text.rlike(r"[\x00-\x08\x0b\x0c\x0e-\x1f\x85\x{2028}\x{2029}]")
-    return F.concat(F.lit('"'), F.when(rare, each).otherwise(out), F.lit('"'))
+    rare = r"[\x00-\x08\x0b\x0c\x0e-\x1f\x85\x{2028}\x{2029}]"
+    code = lambda c: F.concat(F.lit("\\u"), F.lpad(F.lower(F.hex(F.ascii(c))), 4, "0"))
+    each = F.array_join(F.transform(F.split(out, ""), lambda c: F.when(c.rlike(rare), code(c)).otherwise(c)), "")
+    return F.concat(F.lit('"'), F.when(out.rlike(rare), each).otherwise(out), F.lit('"'))
 
 
 def quoted(text: str) -> str:

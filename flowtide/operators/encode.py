@@ -93,9 +93,9 @@ def number(events: DataFrame) -> DataFrame:
     return events.withColumn("seq", (F.row_number().over(w) - 1).cast("long"))
 
 
-def _width_checked(cells: Column) -> Column:
+def _width_checked(cells: Column, width: Column) -> Column:
     wrong = F.raise_error(F.lit("a tuple has not as many columns as its relation")).cast("array<struct<kind:string,value:string>>")
-    return F.when(cells.isNull() | (F.size(cells) == F.size("columns")), cells).otherwise(wrong)
+    return F.when(cells.isNull() | (F.size(cells) == width), cells).otherwise(wrong)
 
 
 def _generic() -> dict[str, Column]:
@@ -108,7 +108,7 @@ def _generic() -> dict[str, Column]:
         "unchanged": F.concat(F.coalesce(F.when(key_only, empty).otherwise(unsent(F.col("old"))), empty), F.coalesce(unsent(F.col("new")), empty)),
         "key_json": codec.key_json(columns, identity, F.when(F.col("new").isNotNull(), F.col("previous"))),
         "old_json": codec.json_object(columns, F.col("old"), lambda c: ~F.coalesce(key_only, F.lit(False)) | c["is_key"]),
-        "new_json": codec.json_object(columns, F.col("new")),
+        "new_json": codec.json_object(columns, F.col("new")), "quoted": codec.json_quote(F.col("table")), "width": F.size(columns), "names": F.array_join(F.transform("unchanged", codec.json_quote), ","),
     }
 
 
@@ -143,7 +143,8 @@ def _straight(r: Row) -> dict[str, Column]:
     empty = F.array().cast("array<string>")
     return {
         "unchanged": F.concat(F.when(key_only | F.col("old").isNull(), empty).otherwise(unsent("old")), F.when(F.col("new").isNull(), empty).otherwise(unsent("new"))),
-        "key_json": key(), "old_json": image("old", key_only), "new_json": image("new"),
+        "key_json": key(), "old_json": image("old", key_only), "new_json": image("new"), "quoted": F.lit(codec.quoted(f"{r.schema_name}.{r.table_name}")),
+        "width": F.lit(len(r["columns"])), "names": F.concat_ws(",", *(F.when(~key_only & F.col("old").isNotNull() & (v["kind"] == "u"), F.lit(codec.quoted(c.name))) for c, v in cells("old")), *(F.when(v["kind"] == "u", F.lit(codec.quoted(c.name))) for c, v in cells("new"))),
     }
 
 
@@ -154,24 +155,23 @@ def render(events: DataFrame, known: list[Row] | None = None) -> DataFrame:
     """
     table = F.concat("schema_name", F.lit("."), "table_name")
     identity = F.coalesce("new", "old")
-    e = events.withColumn("old", _width_checked(F.col("old"))).withColumn("new", _width_checked(F.col("new")))
     if known:
         each = [(r, _straight(r)) for r in known]
         pick = lambda name: by_relation(known, lambda r: next(x[name] for s, x in each if s is r), F.lit(None))
-        made = {name: pick(name) for name in ("unchanged", "key_json", "old_json", "new_json")}
+        made = {name: pick(name) for name in each[0][1]}
     else:
         made = _generic()
+    e = events.withColumns({c: _width_checked(F.col(c), made["width"]) for c in ("old", "new")}).withColumn("table", table)
     e = e.withColumns({
-        "table": table, "unchanged": made["unchanged"],
-        "key_json": F.when(F.col("keyed") & identity.isNotNull(), made["key_json"]).otherwise(codec.json_quote(table)),
+        "unchanged": made["unchanged"], "key_json": F.when(F.col("keyed") & identity.isNotNull(), made["key_json"]).otherwise(made["quoted"]),
         "old_json": F.when(F.col("old").isNotNull(), made["old_json"]), "new_json": F.when(F.col("new").isNotNull(), made["new_json"]),
     })
     part = lambda name, value: F.coalesce(F.concat(F.lit(f',"{name}":'), value), F.lit(""))
-    names = F.when(F.size("unchanged") > 0, F.concat(F.lit("["), F.array_join(F.transform("unchanged", codec.json_quote), ","), F.lit("]")))
+    names = F.when(F.size("unchanged") > 0, F.concat(F.lit("["), made["names"], F.lit("]")))
     value = F.concat(
-        F.lit('{"table":'), codec.json_quote(F.col("table")), F.lit(',"op":"'), "op", F.lit('","lsn":"'), codec.lsn_text(F.col("lsn")), F.lit('","commit_lsn":"'), codec.lsn_text(F.col("commit_lsn")),
+        F.lit('{"table":'), made["quoted"], F.lit(',"op":"'), "op", F.lit('","lsn":"'), codec.lsn_text(F.col("lsn")), F.lit('","commit_lsn":"'), codec.lsn_text(F.col("commit_lsn")),
         F.lit('","seq":'), F.col("seq").cast("string"), F.lit(',"txid":'), F.col("xid").cast("string"), F.lit(',"ts":"'), codec.rfc3339(F.col("commit_ts")), F.lit('"'),
-        part("origin", codec.json_quote(F.col("origin"))), part("old", F.col("old_json")), part("new", F.col("new_json")), part("unchanged", names), F.lit("}"),
+        part("origin", F.concat(F.lit('"'), F.col("origin"), F.lit('"'))), part("old", F.col("old_json")), part("new", F.col("new_json")), part("unchanged", names), F.lit("}"),
     )
     return e.withColumn("value_json", value).withColumn("is_partial", F.size("unchanged") > 0)
 
@@ -204,7 +204,8 @@ def encode(changes: DataFrame, relations: DataFrame, ignore: tuple[str, Iterable
     c = published(c, tables)
     if ignore:
         c = ignore_tables(c, *ignore)
-    return render(number(split_key_changes(c, known)), known)
+    c = split_key_changes(c, known)
+    return render(number(c.drop("columns") if known else c), known)  # descriptions need not go through the shuffle
 
 
 def cell(cells: str, index: int) -> Column:
