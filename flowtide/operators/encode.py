@@ -38,11 +38,11 @@ def ignore_tables(changes: DataFrame, schema: str, tables: Iterable[str]) -> Dat
 
 
 def published(changes: DataFrame, tables: Iterable[str] | None) -> DataFrame:
-    """Only tables of the publication; names without a schema are public's. None publishes all."""
+    """Only tables of the publication; names without a schema are public's. None publishes all. Changes of unknown relations stay, to be found."""
     if tables is None:
         return changes
     names = [t if "." in t else f"public.{t}" for t in tables]
-    return changes.where(F.concat("schema_name", F.lit("."), "table_name").isin(names))  # reads the name, so an unknown relation raises first
+    return changes.where(F.col("table_name").isNull() | F.concat("schema_name", F.lit("."), "table_name").isin(names))
 
 
 #: Relations with expressions of their own; beyond that, cells are walked by lambdas.
@@ -198,12 +198,11 @@ def encode(changes: DataFrame, relations: DataFrame, ignore: tuple[str, Iterable
     """Raw changes to numbered, rendered events. A change of a relation that was never described is an error, whatever is published."""
     known = relations.limit(FEW + 1).collect()
     known = known if len(known) <= FEW else None
-    c = with_relation(changes, relations)
-    unknown = F.raise_error(F.concat(F.lit("unknown relation id "), F.col("rel_oid").cast("string"))).cast("string")
-    c = c.withColumn("table_name", F.when(F.col("table_name").isNull(), unknown).otherwise(F.col("table_name")))
-    c = published(c, tables)
+    c = published(with_relation(changes, relations), tables)
     if ignore:
         c = ignore_tables(c, *ignore)
+    unknown = F.raise_error(F.concat(F.lit("unknown relation id "), F.col("rel_oid").cast("string"))).cast("string")
+    c = c.withColumn("table_name", F.when(F.col("table_name").isNull(), unknown).otherwise(F.col("table_name")))
     c = split_key_changes(c, known)
     return render(number(c.drop("columns") if known else c), known)  # descriptions need not go through the shuffle
 

@@ -164,7 +164,10 @@ def change(op, origin, key, lsn, seq=0, a=None, b=None):
 
 
 CHANGE = "op string, origin string, key string, pos_lsn long, is_stream int, seq long, commit_lsn long, a string, b string"
-AB = {"a": F.col("a"), "b": F.col("b")}, {"a": F.col("a").isNotNull(), "b": F.col("b").isNotNull()}
+
+
+def ab():
+    return {c: F.col(c) for c in "ab"}, {c: F.col(c).isNotNull() for c in "ab"}
 
 
 def move(old, new, lsn, a=None, b=None):
@@ -180,7 +183,7 @@ def test_long_chains_and_keys_that_come_back(spark):
     for i in range(21):
         rows += move(("40", "x", "y")[i % 3], ("x", "y", "40")[i % 3], 200 + i)
     e = spark.createDataFrame(rows, CHANGE)
-    got = {r.key: (r.a, r.b) for r in consume.materialise(e, "key", *AB, moved=consume.moves(e), checkpoint=settle).collect()}
+    got = {r.key: (r.a, r.b) for r in consume.materialise(e, "key", *ab(), moved=consume.moves(e), checkpoint=settle).collect()}
     assert got == {"40": ("a0", "b0"), "0": ("other", "one")}
     roots = consume.ancestry(e, consume.moves(e), checkpoint=settle).collect()
     assert len(roots) == 61 and {r.root for r in roots} == {"0"}
@@ -190,7 +193,7 @@ def test_long_chains_and_keys_that_come_back(spark):
 
 def test_state_ignores_what_it_has_seen(spark, tmp_path):
     """Events that come again in a later batch, and events of deleted and moved keys."""
-    m = Materialiser(str(tmp_path / "state"), "key", *AB)
+    m = Materialiser(str(tmp_path / "state"), "key", *ab())
     first = [change("insert", None, "1", 1, 0, "a", "b"), change("insert", None, "2", 2, 0, "c", "d"), change("insert", None, "3", 3, 0, "e", "f")]
     second = [change("update", None, "1", 4, 0, "new"), change("delete", None, "2", 5), *move("3", "4", 6, "g")]
     for n, batch in enumerate([first, second, first + second, [*move("4", "3", 7), change("insert", None, "4", 8, 0, "h", "i")]]):
