@@ -554,22 +554,21 @@ def cdc_chunk_counts(spark, sf_dir):
 MAX_BYTES = 16384
 
 
-#: Key changes and deletes alone: what _PACKED, the SQL of the seven queries over batches, takes of the log.
-SQL_PHASES = (3, 4, 5)
-
-
-def packed(spark, sf_dir, phases=(0, 1, 2, 3, 4, 5)) -> DataFrame:
-    """The log's events of some phases, all by default, in batches of MAX_BYTES, as one stream."""
-    e = events(spark, sf_dir, phases)
+def packed(spark, sf_dir) -> DataFrame:
+    """The whole log's events in batches of MAX_BYTES, as the one stream that a slot is."""
+    e = events(spark, sf_dir)
     w = Window.partitionBy("commit_lsn")
     e = e.withColumn("ends_tx", F.max("seq").over(w) == F.col("seq"))
-    sizes = e.select(F.lit("orders").alias("stream"), F.struct("commit_lsn", "seq").alias("p"), (F.octet_length("value_json") + 1).cast("long").alias("bytes"), "ends_tx", "end_lsn", "commit_ts", "value_json", "commit_lsn", "seq")
-    return ledger.pack(sizes.withColumn("pos", F.col("commit_lsn") * 1000 + F.col("seq")).drop("p"), MAX_BYTES)
+    sizes = e.select(F.lit("slot").alias("stream"), F.struct("commit_lsn", "seq").alias("pos"), (F.octet_length("value_json") + 1).cast("long").alias("bytes"), "ends_tx", "end_lsn", "commit_ts", "value_json", "commit_lsn", "seq")
+    return ledger.pack(sizes, MAX_BYTES)
 
 
-_PACKED = LOG.replace("with o", "with recursive o") + f""", s as (select commit_lsn, seq, end_lsn, ts, {VALUE} as value_json, strlen({VALUE}) + 1 as bytes, row_number() over (order by commit_lsn, seq) as rn, max(seq) over (partition by commit_lsn) = seq as ends_tx from e where p in (3, 4, 5)),
-k as (select rn, 0::bigint as batch, bytes as size from s where rn = 1 union all select s.rn, k.batch + case when k.size >= {MAX_BYTES} then 1 else 0 end, case when k.size >= {MAX_BYTES} then s.bytes else k.size + s.bytes end from k join s on s.rn = k.rn + 1),
-b as (select s.*, k.batch from s join k using (rn)),
+#: Batch borders are running sums: the next is the least sum that is MAX_BYTES or more beyond the last, so the recursion takes a step a batch, not a row.
+_PACKED = LOG.replace("with o", "with recursive o") + f""", v as (select commit_lsn, seq, end_lsn, ts, {VALUE} as value_json, max(seq) over (partition by commit_lsn) = seq as ends_tx from e),
+s as materialized (select *, strlen(value_json) + 1 as bytes, (sum(strlen(value_json) + 1) over (order by commit_lsn, seq))::bigint as upto from v),
+j as materialized (select f.base, s.upto as next from (select 0::bigint as base union all select upto from s) f asof join s on f.base + {MAX_BYTES} <= s.upto),
+k as (select 0::bigint as base, 0::bigint as batch union all select j.next, k.batch + 1 from k join j using (base)),
+b as (select s.*, k.batch from s asof join k on s.upto > k.base),
 a as (select batch, count(*) as events, sum(bytes)::bigint as bytes, coalesce(max(end_lsn) filter (where ends_tx), 0) as ack_lsn, min(ts) as oldest_commit from b group by batch),
 t as (select *, batch % 7 <> 4 as done from a)
 """
@@ -577,16 +576,16 @@ t as (select *, batch % 7 <> 4 as done from a)
 
 @query(_PACKED + "select commit_lsn, seq, bytes, batch from b")
 def cdc_batch_packing(spark, sf_dir):
-    return packed(spark, sf_dir, SQL_PHASES).select("commit_lsn", "seq", "bytes", "batch")
+    return packed(spark, sf_dir).select("commit_lsn", "seq", "bytes", "batch")
 
 
 @query(_PACKED + "select * from a")
 def cdc_tx_ack(spark, sf_dir):
-    return ledger.ack_of_batches(packed(spark, sf_dir, SQL_PHASES))
+    return ledger.ack_of_batches(packed(spark, sf_dir))
 
 
 def batches(spark, sf_dir) -> DataFrame:
-    return ledger.ack_of_batches(packed(spark, sf_dir, SQL_PHASES)).withColumn("done", F.col("batch") % 7 != 4)
+    return ledger.ack_of_batches(packed(spark, sf_dir)).withColumn("done", F.col("batch") % 7 != 4)
 
 
 @query(_PACKED + "select coalesce(max(ack_lsn) filter (where undone = 0), 0) as flushed_lsn, coalesce(max(ack_lsn) filter (where done), 0) as delivered_lsn from (select *, sum(case when done then 0 else 1 end) over (order by batch) as undone from t)")
@@ -647,7 +646,7 @@ _BODY = ", y as (select batch, string_agg(value_json || chr(10), '' order by com
 
 def bodies(spark, sf_dir) -> DataFrame:
     rows = F.transform(F.sort_array(F.collect_list(F.struct("commit_lsn", "seq", "value_json"))), lambda x: F.concat(x["value_json"], F.lit("\n")))
-    return packed(spark, sf_dir, SQL_PHASES).groupBy("batch").agg(F.array_join(rows, "").alias("body"))
+    return packed(spark, sf_dir).groupBy("batch").agg(F.array_join(rows, "").alias("body"))
 
 
 @query(_PACKED + _BODY + f" select batch, 't=' || (1789898400 + batch) || ',v1=' || {hmac_sql('''(1789898400 + batch) || '.' || body''')} as signature, true as valid, false as late from y")
