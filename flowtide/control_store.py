@@ -7,7 +7,7 @@ current state is what the files say together. Files are reached through Hadoop's
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import asdict, dataclass, field, replace
 
 from pyspark.sql import SparkSession
@@ -157,6 +157,56 @@ def bootstrap(store: ControlStore, slot: str, exists: bool, requested: int, crea
     return action
 
 
+def check_slot(slot: str, plugin: str | None, wal_status: str | None) -> bool:
+    """Whether the slot is there (plugin is None if not); one that can't serve changes any more, or decodes in another format, is an error."""
+    if plugin is None:
+        return False
+    if plugin != "pgoutput":
+        raise SlotUnusable(f"slot {slot} decodes with {plugin}")
+    if wal_status == "lost":
+        raise SlotUnusable(f"slot {slot} has lost changes that were never read")
+    return True
+
+
+def require_slot(store: ControlStore, slot: str, generation: int, exists: bool) -> None:
+    """On every reconnect: the slot that this process began with must still be there, in the same generation."""
+    if not exists:
+        raise SlotUnusable(f"slot {slot} went away while it was in use")
+    if (now := store.generation(slot)) != generation:
+        raise StateError(f"slot {slot} is in generation {now}, this process began in {generation}")
+
+
+def create_slot(slot: str, create: Callable[[str], int], store: ControlStore, generation: int = 0) -> int:
+    """Makes the slot and gives the position that its changes begin at; made before it is remembered, as in bootstrap."""
+    begins = create(slot)
+    if generation:
+        store.spend(slot, generation)
+    else:
+        store.record(slot)
+    return begins
+
+
+def ensure_publication(there: tuple[bool, Iterable[str]] | None, wanted: Iterable[str], create: Callable[[list[str]], None]) -> str:
+    """created, kept, or drifted. There: whether it publishes all tables, and which. One that is there is never altered, only reported on."""
+    name = lambda t: t if "." in t else f"public.{t}"
+    wanted = sorted(map(name, wanted))
+    if there is None:
+        create(wanted)
+        return "created"
+    every, listed = there
+    same = not wanted if every else bool(wanted) and wanted == sorted(listed)
+    return "kept" if same else "drifted"
+
+
+def check_source(standby: bool, system: str, known: str | None) -> str:
+    """A backfill reads the very database that the stream comes from: not a standby, the same system. Returns what to remember."""
+    if standby:
+        raise StateError("the source is a standby: its snapshots can't be told apart by transaction")
+    if known is not None and system != known:
+        raise StateError(f"the source is system {system}, the stream comes from {known}")
+    return system
+
+
 def tables_to_copy(listed: tuple[str, ...], published: Iterable[str], own_schema: str) -> list[str]:
     """Named tables, or all published ones but the engine's own; names with dots inside can't be told apart and are refused."""
     if listed != ("all",):

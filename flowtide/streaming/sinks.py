@@ -12,11 +12,14 @@ import hashlib
 import hmac
 import http.client
 import random
+import re
+import threading
 import time
 import urllib.error
 import urllib.request
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
+from typing import TextIO
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -58,6 +61,26 @@ def text_writer(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
+class StreamWriter:
+    """Lines to an open text stream, such as standard output, in total order, a partition at a time. One batch is written at once."""
+
+    def __init__(self, out: TextIO):
+        self.out, self.busy = out, threading.Lock()
+
+    def write(self, batch: DataFrame, batch_id: int) -> None:
+        if not self.busy.acquire(blocking=False):
+            raise Stuck("another batch is still being written")
+        try:
+            wrote = False
+            for r in batch.select("pos_lsn", "is_stream", "seq", "value_json").orderBy("pos_lsn", "is_stream", "seq").toLocalIterator():
+                self.out.write(r.value_json + "\n")
+                wrote = True
+            if wrote:
+                self.out.flush()
+        finally:
+            self.busy.release()
+
+
 # --- webhook -------------------------------------------------------------------------------------------------------
 
 
@@ -183,11 +206,32 @@ def kafka_options(brokers: list[str], tls: bool = False, mechanism: str = "", us
     return out
 
 
+#: The client library's errors that may pass (its RetriableException and what derives from it).
+KAFKA_RETRIABLE = frozenset("""ConcurrentTransactionsException CoordinatorLoadInProgressException CoordinatorNotAvailableException CorruptRecordException DisconnectException
+EligibleLeadersNotAvailableException FencedLeaderEpochException FetchSessionIdNotFoundException InvalidFetchSessionEpochException InvalidMetadataException KafkaStorageException
+LeaderNotAvailableException ListenerNotFoundException NetworkException NotControllerException NotCoordinatorException NotEnoughReplicasAfterAppendException
+NotEnoughReplicasException NotLeaderForPartitionException NotLeaderOrFollowerException OffsetNotAvailableException PreferredLeaderNotAvailableException
+ReplicaNotAvailableException RetriableException ThrottlingQuotaExceededException TimeoutException UnknownLeaderEpochException UnknownTopicIdException
+UnknownTopicOrPartitionException UnstableOffsetCommitException""".split())
+_KAFKA_ERROR = re.compile(r"org\.apache\.kafka\.common\.errors\.(\w+)")
+
+
+def kafka_error(error: Exception) -> Exception:
+    """Rejected, naming the kinds alone, if a broker's error in it would come again on a replay; else the error itself."""
+    final = sorted(set(_KAFKA_ERROR.findall(str(error))) - KAFKA_RETRIABLE)
+    return Rejected(f"the brokers refused records: {', '.join(final)}") if final else error
+
+
 def kafka_writer(prefix: str, options: dict[str, str], emit_truncate: bool = False) -> Callable[[DataFrame, int], None]:
     """Rows of a key go to one partition in order: they are sorted within the task that holds the key."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         r = kafka_records(batch, prefix, emit_truncate).repartition("topic", "key").sortWithinPartitions("pos_lsn", "is_stream", "seq")
-        r.select("topic", "key", "value").write.format("kafka").options(**options).save()
+        try:
+            r.select("topic", "key", "value").write.format("kafka").options(**options).save()
+        except Exception as e:
+            if (told := kafka_error(e)) is e:
+                raise
+            raise told from None  # its text may hold data
 
     return write

@@ -4,7 +4,7 @@ import json
 import pytest
 
 from flowtide import log
-from flowtide.control_store import DONE, ControlStore, Progress, SlotUnusable, StateError, bootstrap, decide, tables_to_copy
+from flowtide.control_store import DONE, ControlStore, Progress, SlotUnusable, StateError, bootstrap, check_slot, check_source, create_slot, decide, ensure_publication, require_slot, tables_to_copy
 
 
 @pytest.fixture
@@ -71,3 +71,33 @@ def test_log_lines():
     assert json.loads(out.getvalue())["message"] == "so 3" and json.loads(out.getvalue())["slot"] == "s"
     with pytest.raises(ValueError):
         log.make("loud")
+
+
+def test_slots_that_can_serve(store):
+    assert check_slot("s", "pgoutput", "reserved") and not check_slot("s", None, None)
+    for plugin, status in (("test_decoding", "reserved"), ("pgoutput", "lost")):
+        with pytest.raises(SlotUnusable):
+            check_slot("s", plugin, status)
+    assert create_slot("s", lambda name: 640, store) == 640 and store.generation("s") == 0
+    require_slot(store, "s", 0, True)
+    with pytest.raises(SlotUnusable):
+        require_slot(store, "s", 0, False)
+    assert create_slot("s", lambda name: 900, store, 1) == 900
+    with pytest.raises(StateError):
+        require_slot(store, "s", 0, True)
+
+
+def test_publications_are_made_and_never_altered():
+    made = []
+    assert ensure_publication(None, ["t", "x.u"], made.append) == "created" and made == [["public.t", "x.u"]]
+    cases = [((True, []), [], "kept"), ((True, []), ["t"], "drifted"), ((False, ["public.t"]), ["t"], "kept"), ((False, ["public.t"]), [], "drifted"), ((False, []), [], "drifted"), ((False, ["x.t"]), ["t"], "drifted")]
+    for there, wanted, says in cases:
+        assert ensure_publication(there, wanted, made.append) == says
+    assert len(made) == 1
+
+
+def test_sources_are_the_one_that_streams():
+    assert check_source(False, "71", None) == check_source(False, "71", "71") == "71"
+    for standby, system in ((True, "71"), (False, "72")):
+        with pytest.raises(StateError):
+            check_source(standby, system, "71")
