@@ -88,8 +88,8 @@ def split_key_changes(changes: DataFrame, known: list[Row] | None = None) -> Dat
 
 
 def number(events: DataFrame) -> DataFrame:
-    """seq counts the events of a transaction from 0, after filters and splits."""
-    w = Window.partitionBy("commit_lsn").orderBy("lsn", "half")
+    """seq counts the events of a transaction from 0, after filters and splits. Transactions at one position are numbered together; of their equal places, the older's comes first."""
+    w = Window.partitionBy("commit_lsn").orderBy("lsn", "half", "xid")
     return events.withColumn("seq", (F.row_number().over(w) - 1).cast("long"))
 
 
