@@ -45,6 +45,10 @@ def position(p: int, g: Column, i: Column, extra: int = 0) -> dict[str, Column]:
     }
 
 
+def phase_of(xid: Column) -> Column:
+    return F.floor((xid - 1000) / 1_000_000)
+
+
 def text(value: Column) -> Column:
     """A cell: text, or null."""
     return F.struct(F.when(value.isNull(), "n").otherwise("t").alias("kind"), value.cast("string").alias("value"))
