@@ -15,7 +15,7 @@ BASE, PHASE, TX, STEP = 16777216, 1 << 32, 65536, 64
 ORDERS, PART, SUPPLIER, SLOTS = 100, 101, 102, 900
 STATE_SCHEMA, STATE_TABLES = "cdc_state", ("slots", "backfills")
 SNAPSHOT_XMIN = 1000 + 2 * 1_000_000
-TRACK_LSN, CHUNK_LSN = BASE + 2 * PHASE - 2 * TX, BASE + 3 * PHASE - 2 * TX
+CHUNK_LSN = BASE + 3 * PHASE - 2 * TX
 REREAD_LSN = CHUNK_LSN + TX
 CHUNK_ROWS = 1000
 MOVED = 10_000_000
