@@ -1,9 +1,10 @@
-"""Topics of documents: clusters of word use, learned from a bounded sample and assigned to whole texts.
+"""Topics of documents: clusters of word use, learned from all texts and assigned to whole texts.
 
-A text is a vector of its word counts in WIDTH hash buckets, as 1 + log of the count times the bucket's rarity in the sample, of
-length 1. Spherical k-means starts from the sample's text nearest its mean and takes the text that is least like those chosen as the
-next start, so training has no chance in it. The sample are the `sample` distinct texts with the smallest hashes, `longest` characters
-from the head of each; assigning reads whole texts.
+A text is a vector of its word counts in WIDTH hash buckets, as 1 + log of the count times the bucket's rarity among the texts, of
+length 1. Spherical k-means starts from the text nearest their mean and takes the text that is least like those chosen as the
+next start, so training has no chance in it. All distinct whole texts are learned from (equal hashes of 64 bits are taken for equal
+texts): their counts are written once, and each round is a pass over them that sends back sums by bucket. Sums are of whole
+numbers, so that no partitioning changes them.
 
 Defined cases: null texts, and texts without words, have the topic "none". With fewer distinct texts than topics, there are fewer.
 """
@@ -15,14 +16,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import slices, stash
 from .text_arrays import Words, give_back
 
 WIDTH, ROUNDS = 1024, 20
 NONE = "none"
+#: Vectors' entries are summed as whole numbers of this unit; rows that a pass takes at once.
+UNIT, ROWS = float(1 << 30), 2000
 
 
 def counts(texts) -> tuple[np.ndarray, np.ndarray]:
@@ -58,6 +62,7 @@ class Topics:
 
 
 def fit(texts: list[str], topics: int) -> Topics:
+    """What learn gives for a few distinct texts, in memory."""
     table, n = counts(texts)
     table = table[n > 0]
     rarity = np.log((1 + len(table)) / (1 + (table > 0).sum(axis=0)))
@@ -82,14 +87,123 @@ def fit(texts: list[str], topics: int) -> Topics:
     return Topics(rarity, centres)
 
 
-def learn(docs: DataFrame, text: str = "text", topics: int = 6, sample: int = 1500, longest: int = 4000) -> Topics:
-    t = docs.select(F.col(text).alias("t")).where("t is not null").select(F.substring("t", 1, longest).alias("t")).withColumn("h", F.xxhash64("t"))
-    # a cut by hash that some 8 times the sample passes, then the smallest: all where the table is no larger than that
-    n = docs.count()
-    span = 1 << 63
-    cut = int(-span + min(2 * span - 1, min(1.0, 8.0 * sample / max(1, n)) * 2 * span))
-    rows = t.where(F.col("h") <= cut).distinct().orderBy("h", "t").limit(sample).collect()
-    return fit([r.t for r in rows], topics)
+def packed(docs: DataFrame, text: str = "text") -> DataFrame:
+    """h, at, n: hash, buckets and counts of each distinct text with words; some 6 bytes a bucket that it has."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            start = 0
+            for part in slices(b["t"]):
+                table, n = counts(part)
+                row, at = np.nonzero(table)
+                ends = np.searchsorted(row, np.arange(len(n) + 1))
+                cells = [(table[row, at].astype("<u4"), 4), (at.astype("<u2"), 2)]
+                n_, at_ = (pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer((ends * k).astype(np.int32)), pa.py_buffer(c.tobytes())]) for c, k in cells)
+                out = pa.RecordBatch.from_arrays([b["h"].slice(start, len(n)), at_, n_], names=["h", "at", "n"])
+                start += len(n)
+                yield out.filter(pa.array(n > 0))
+        give_back()
+
+    t = docs.select(F.col(text).alias("t")).where("t is not null").select(F.xxhash64("t").alias("h"), "t")
+    return stash(t.mapInArrow(pack, "h long, at binary, n binary").dropDuplicates(["h"]), "topics")
+
+
+def entries(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, bucket and count of every entry."""
+    at, n = (np.frombuffer(b"".join(b[c].to_pylist()), kind) for c, kind in (("at", "<u2"), ("n", "<u4")))
+    owner = np.repeat(np.arange(b.num_rows), pc.binary_length(b["at"]).to_numpy(zero_copy_only=False) // 2)
+    return owner, at.astype(np.int64), n.astype(np.float64)
+
+
+def _few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for k in range(0, b.num_rows, ROWS):
+            yield b.slice(k, ROWS)
+
+
+def _table(texts: DataFrame, add, k: int) -> np.ndarray:
+    """The sum over all texts of add(batch), a table of k rows of WIDTH whole numbers."""
+
+    def one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((k, WIDTH))
+        for b in _few(batches):
+            total += add(b)
+        row, at = np.nonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(at), pa.array(total[row, at].astype(np.int64))], names=["k", "b", "s"])
+        give_back()
+
+    out = np.zeros((k, WIDTH))
+    for r in texts.mapInArrow(one, "k long, b long, s long").groupBy("k", "b").agg(F.sum("s").alias("s")).collect():  # at most k * WIDTH rows
+        out[r.k, r.b] = r.s
+    return out
+
+
+def _unit(b: pa.RecordBatch, rarity: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Row, bucket and value of every entry of the texts' vectors, and which texts have one."""
+    owner, at, n = entries(b)
+    v = (1 + np.log(n)) * rarity[at]
+    size = np.sqrt(np.bincount(owner, v * v, b.num_rows))
+    return owner, at, np.divide(v, size[owner], out=np.zeros_like(v), where=size[owner] > 0), size > 0
+
+
+def _likeness(owner: np.ndarray, at: np.ndarray, v: np.ndarray, rows: int, centres: np.ndarray) -> np.ndarray:
+    return np.stack([np.bincount(owner, v * c[at], rows) for c in centres], axis=1)
+
+
+def _start(texts: DataFrame, rarity: np.ndarray, others: np.ndarray, sign: int) -> tuple[float, np.ndarray] | None:
+    """The text least (sign 1) or most (-1) like any of `others`, the smaller hash of equal ones: likeness and vector."""
+
+    def one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = None
+        for b in _few(batches):
+            owner, at, v, there = _unit(b, rarity)
+            like = np.where(there, sign * _likeness(owner, at, v, b.num_rows, others).max(axis=1), np.inf)
+            i = int(np.lexsort((b["h"].to_numpy(), like))[0])
+            if there[i] and (best is None or (like[i], b["h"][i].as_py()) < best[:2]):
+                best = (float(like[i]), b["h"][i].as_py(), b.slice(i, 1).select(["h", "at", "n"]))
+        if best:
+            yield best[2].append_column("like", pa.array([best[0]]))
+        give_back()
+
+    found = texts.mapInArrow(one, "h long, at binary, n binary, like double").orderBy("like", "h").limit(1).collect()
+    if not found:
+        return None
+    at, n = np.frombuffer(bytes(found[0].at), "<u2"), np.frombuffer(bytes(found[0].n), "<u4")
+    table = np.zeros((1, WIDTH), np.int64)
+    table[0, at] = n
+    return sign * found[0].like, Topics(rarity, np.zeros((0, WIDTH))).vectors(table)[0]
+
+
+def learn(docs: DataFrame, text: str = "text", topics: int = 6) -> Topics:
+    t = packed(docs, text)
+    has = _table(t, lambda b: np.bincount(entries(b)[1], minlength=WIDTH).reshape(1, WIDTH), 1)[0]
+    rarity = np.log((1 + t.count()) / (1 + has))
+
+    def sums(centres: np.ndarray) -> np.ndarray:
+        def add(b: pa.RecordBatch) -> np.ndarray:
+            owner, at, v, _ = _unit(b, rarity)
+            own = _likeness(owner, at, v, b.num_rows, centres).argmax(axis=1)
+            return np.bincount(own[owner] * WIDTH + at, np.rint(v * UNIT), len(centres) * WIDTH).reshape(len(centres), WIDTH)
+
+        return _table(t, add, len(centres))
+
+    first = _start(t, rarity, sums(np.zeros((1, WIDTH))) / UNIT, -1)
+    if not first:
+        return Topics(rarity, np.zeros((0, WIDTH)))
+    centres = first[1][None]
+    while len(centres) < topics:
+        like, v = _start(t, rarity, centres, 1)
+        if like > 1 - 1e-9:
+            break
+        centres = np.concatenate((centres, v[None]))
+    for _ in range(ROUNDS):
+        new = sums(centres)
+        size = np.sqrt((new * new).sum(axis=1, keepdims=True))
+        new = np.divide(new, size, out=centres.copy(), where=size > 0)
+        if np.allclose(new, centres):
+            break
+        centres = new
+    return Topics(rarity, centres)
 
 
 def assigner(docs: DataFrame, model: Topics):
