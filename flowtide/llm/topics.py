@@ -16,24 +16,36 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import slices, stash
 from .text_arrays import Words, give_back
 
+#: WIDTH is a power of two.
 WIDTH, ROUNDS = 1024, 20
 NONE = "none"
-#: Vectors' entries are summed as whole numbers of this unit; rows that a pass takes at once.
-UNIT, ROWS = float(1 << 30), 2000
+#: Vectors' entries are summed as whole numbers of this unit; rows that a pass takes at once, and rows and bytes of texts that are counted at once.
+UNIT, ROWS = float(1 << 30), 500
+TEXTS, TEXT_BYTES = 250, 1 << 20
+#: 1 + log of small counts; 0 of 0.
+DAMPED = np.concatenate(([0.0], 1 + np.log(np.arange(1, 256))))
+
+
+def damped(n: np.ndarray) -> np.ndarray:
+    """1 + log of each count, 0 of 0."""
+    out = DAMPED.take(np.minimum(n, len(DAMPED) - 1))
+    large = n >= len(DAMPED)
+    if large.any():
+        out[large] = 1 + np.log(n[large])
+    return out
 
 
 def counts(texts) -> tuple[np.ndarray, np.ndarray]:
     """Words of each text in each bucket, and words of each text."""
     w = Words(texts)
     n = np.diff(w.at)
-    bucket = (w.hashes() % np.uint64(WIDTH)).astype(np.int64)
+    bucket = (w.hashes() & np.uint64(WIDTH - 1)).astype(np.int64)
     owner = np.repeat(np.arange(len(n)), n)
     return np.bincount(owner * WIDTH + bucket, minlength=len(n) * WIDTH).reshape(len(n), WIDTH), n
 
@@ -44,7 +56,7 @@ class Topics:
     centres: np.ndarray
 
     def vectors(self, table: np.ndarray) -> np.ndarray:
-        v = np.where(table > 0, 1 + np.log(np.maximum(table, 1)), 0.0) * self.rarity
+        v = damped(table) * self.rarity
         size = np.sqrt((v * v).sum(axis=1, keepdims=True))
         return np.divide(v, size, out=np.zeros_like(v), where=size > 0)
 
@@ -93,7 +105,7 @@ def packed(docs: DataFrame, text: str = "text") -> DataFrame:
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             start = 0
-            for part in slices(b["t"]):
+            for part in slices(b["t"], TEXTS, TEXT_BYTES):
                 table, n = counts(part)
                 row, at = np.nonzero(table)
                 ends = np.searchsorted(row, np.arange(len(n) + 1))
@@ -108,11 +120,18 @@ def packed(docs: DataFrame, text: str = "text") -> DataFrame:
     return stash(t.mapInArrow(pack, "h long, at binary, n binary").dropDuplicates(["h"]), "topics")
 
 
+def _cells(column: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """Where each row's numbers begin (one more at the end), and the numbers of all rows, in place."""
+    offset = np.int64 if pa.types.is_large_binary(column.type) else np.int32
+    ends = np.frombuffer(column.buffers()[1], offset)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    body = np.frombuffer(column.buffers()[2], np.uint8)[ends[0] : ends[-1]].view(kind)
+    return (ends - ends[0]) // body.itemsize, body
+
+
 def entries(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row, bucket and count of every entry."""
-    at, n = (np.frombuffer(b"".join(b[c].to_pylist()), kind) for c, kind in (("at", "<u2"), ("n", "<u4")))
-    owner = np.repeat(np.arange(b.num_rows), pc.binary_length(b["at"]).to_numpy(zero_copy_only=False) // 2)
-    return owner, at.astype(np.int64), n.astype(np.float64)
+    """First entry of every row (each has one at least), and bucket and count of every entry."""
+    ends, at = _cells(b["at"], "<u2")
+    return ends[:-1], at.astype(np.intp), _cells(b["n"], "<u4")[1]
 
 
 def _few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,15 +158,21 @@ def _table(texts: DataFrame, add, k: int) -> np.ndarray:
 
 
 def _unit(b: pa.RecordBatch, rarity: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Row, bucket and value of every entry of the texts' vectors, and which texts have one."""
-    owner, at, n = entries(b)
-    v = (1 + np.log(n)) * rarity[at]
-    size = np.sqrt(np.bincount(owner, v * v, b.num_rows))
-    return owner, at, np.divide(v, size[owner], out=np.zeros_like(v), where=size[owner] > 0), size > 0
+    """First entry of every row, bucket and value of every entry of the texts' vectors, and which texts have one."""
+    first, at, n = entries(b)
+    v = damped(n) * rarity.take(at)
+    size = np.sqrt(np.add.reduceat(v * v, first))
+    there = size > 0
+    v /= np.repeat(np.where(there, size, 1.0), _lengths(first, at))
+    return first, at, v, there
 
 
-def _likeness(owner: np.ndarray, at: np.ndarray, v: np.ndarray, rows: int, centres: np.ndarray) -> np.ndarray:
-    return np.stack([np.bincount(owner, v * c[at], rows) for c in centres], axis=1)
+def _lengths(first: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return np.diff(first, append=len(at))
+
+
+def _likeness(first: np.ndarray, at: np.ndarray, v: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    return np.stack([np.add.reduceat(v * c.take(at), first) for c in centres], axis=1)
 
 
 def _start(texts: DataFrame, rarity: np.ndarray, others: np.ndarray, sign: int) -> tuple[float, np.ndarray] | None:
@@ -156,8 +181,8 @@ def _start(texts: DataFrame, rarity: np.ndarray, others: np.ndarray, sign: int)
     def one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = None
         for b in _few(batches):
-            owner, at, v, there = _unit(b, rarity)
-            like = np.where(there, sign * _likeness(owner, at, v, b.num_rows, others).max(axis=1), np.inf)
+            first, at, v, there = _unit(b, rarity)
+            like = np.where(there, sign * _likeness(first, at, v, others).max(axis=1), np.inf)
             i = int(np.lexsort((b["h"].to_numpy(), like))[0])
             if there[i] and (best is None or (like[i], b["h"][i].as_py()) < best[:2]):
                 best = (float(like[i]), b["h"][i].as_py(), b.slice(i, 1).select(["h", "at", "n"]))
@@ -181,9 +206,9 @@ def learn(docs: DataFrame, text: str = "text", topics: int = 6) -> Topics:
 
     def sums(centres: np.ndarray) -> np.ndarray:
         def add(b: pa.RecordBatch) -> np.ndarray:
-            owner, at, v, _ = _unit(b, rarity)
-            own = _likeness(owner, at, v, b.num_rows, centres).argmax(axis=1)
-            return np.bincount(own[owner] * WIDTH + at, np.rint(v * UNIT), len(centres) * WIDTH).reshape(len(centres), WIDTH)
+            first, at, v, _ = _unit(b, rarity)
+            own = _likeness(first, at, v, centres).argmax(axis=1)
+            return np.bincount(np.repeat(own * WIDTH, _lengths(first, at)) + at, np.rint(v * UNIT), len(centres) * WIDTH).reshape(len(centres), WIDTH)
 
         return _table(t, add, len(centres))
 
@@ -206,16 +231,23 @@ def learn(docs: DataFrame, text: str = "text", topics: int = 6) -> Topics:
     return Topics(rarity, centres)
 
 
-def assigner(docs: DataFrame, model: Topics):
-    """A Column function: text to its topic and number of words."""
+def assigner(docs: DataFrame, model: Topics, counter=None):
+    """A Column function: text to its topic and number of words, and, with a unigram.Counter, n_tokens.
+
+    The counter works in the same Python worker: of two such columns each would have a worker of its own in every task.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    names = ["topic", "n_words", *(["n_tokens"] if counter else [])]
 
-    @F.arrow_udf("struct<topic:string,n_words:long>")
+    @F.arrow_udf("struct<topic:string,n_words:long" + (",n_tokens:long>" if counter else ">"))
     def assign(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            for part in slices(texts):
+            for part in slices(texts, TEXTS, TEXT_BYTES):
                 topic, n = shared.value.of(part)
-                yield pa.StructArray.from_arrays([pa.array(topic, pa.string()), pa.array(n.astype(np.int64))], names=["topic", "n_words"])
+                more = [counter(part)] if counter else []
+                yield pa.StructArray.from_arrays([pa.array(topic, pa.string()), pa.array(n.astype(np.int64)), *more], names=names)
+        if counter:
+            counter.rest()
         give_back()
 
     return assign.asNondeterministic()  # or each use of it would compute it again

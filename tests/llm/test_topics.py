@@ -16,3 +16,8 @@ def test_all_whole_texts_are_learned_from(spark):
     assert got.rarity == pytest.approx(want.rarity)
     assert sorted(map(tuple, got.centres.round(3))) == sorted(map(tuple, want.centres.round(3)))
     assert np.array_equal(topics.learn(d.repartition(3), topics=3).centres, got.centres)
+
+
+def test_counts_beyond_the_table_of_logarithms():
+    n = np.array([[0, 1, 255], [256, 300, 70_000]])
+    assert topics.damped(n) == pytest.approx(np.where(n > 0, 1 + np.log(np.maximum(n, 1)), 0.0))
