@@ -218,17 +218,30 @@ def _rest() -> None:
     give_back()
 
 
+class Counter:
+    """Numbers of pieces of an array of texts, for use in Python workers; rest() at the end of a task."""
+
+    def __init__(self, spark: SparkSession, vocabulary: Vocabulary):
+        self.shared = spark.sparkContext.broadcast(vocabulary)
+
+    def __call__(self, texts: pa.Array) -> pa.Array:
+        s = scanner(self.shared.value)
+        return pa.array([s.count(x) for x in texts.to_pylist()], pa.int64())
+
+    def rest(self) -> None:
+        _rest()
+
+
 def token_count(spark: SparkSession, vocabulary: Vocabulary):
     """A Column function: text to its number of pieces (long)."""
-    shared = spark.sparkContext.broadcast(vocabulary)
+    counter = Counter(spark, vocabulary)
 
     @F.arrow_udf("long")
     def count(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        s = scanner(shared.value)
         for batch in texts:
             for text in slices(batch):
-                yield pa.array([s.count(x) for x in text.to_pylist()], pa.int64())
-        _rest()
+                yield counter(text)
+        counter.rest()
 
     return count
 
